@@ -1,39 +1,42 @@
-"""Entity-table upserts (E1-E7) and routing.
+"""Entity-table upserts (E1-E7), routing (C2) and insert-if-absent (JN6).
 
 The reference runs ``INSERT ... ON CONFLICT (key) DO UPDATE SET status,
-updated_at`` once per event. Folded over a batch that is: every column
-from the key's *first* arrival, ``status`` from its *last*, ``created_at``
-from the first write and ``updated_at`` from the last touch (a copy that
-changes nothing still touches). As a DataFrame job this is one
-``groupBy(key)`` with ``min_by`` / ``max_by`` over the arrival order --
-one shuffle, partial aggregation first.
-
-Across batches an existing target row sorts before every new row:
-:func:`merge_into` unions target and folded batch with a source rank and
-folds again, which is the same aggregate.
+updated_at`` once per event. Folded over events that is: every column from
+the key's *first* arrival, ``status`` from its *last*, ``created_at`` from
+the first write and ``updated_at`` from the last touch (a copy that changes
+nothing still touches). ``DO NOTHING`` tables (users, merchants, the log)
+keep the first row whole.
+
+One code path does it all: each event becomes a *candidate row* of the
+target table carrying ``first_seq`` = ``last_seq`` = its arrival order, and
+:func:`fold_rows` folds candidates -- or already folded rows -- with
+``min_by`` over ``first_seq`` and ``max_by`` over ``last_seq``. The fold is
+associative and commutative, so a batch fold, a merge of a batch into a
+target and a merge of many micro-batch deltas give the same rows whatever
+order the batches come in. One ``groupBy(key)``: one shuffle, with partial
+aggregation before it (a replay storm of one key shrinks map-side).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.normalise import arrival_seq, default_if_absent, user_email
-from ledgerlake.operators.dedup import first_per_key
-from ledgerlake.schemas import ARRIVAL_ORDER, EVENT_TARGET, K2, TABLES
+from ledgerlake.operators.history import history_rows
+from ledgerlake.schemas import ARRIVAL_ORDER, EVENT_TARGET, K2, K3, TABLES
 
-
-@dataclass(frozen=True)
-class FoldSpec:
-    table: str
-    key: list[str]
-    first: dict[str, str | Callable[[], Column]]   # first-wins columns (from the first arrival)
-    created_col: str = "created_at"
-    extra_first_time: tuple[str, ...] = ()   # more columns set to the first write time
+ENTITY_TABLES = ["payment_intents", "charges", "refunds", "chargebacks"]
+KEYS: dict[str, list[str]] = {
+    "payment_intents": K2, "charges": K2, "refunds": K2, "chargebacks": ["chargeback_id"],
+    "users": ["user_id"], "merchants": ["merchant_id"], "payment_status_history": K3,
+}
+# Columns ON CONFLICT overwrites (from the last arrival); the rest stay from the first.
+LAST_WINS: dict[str, list[str]] = {t: ["status", "updated_at"] for t in ENTITY_TABLES}
+SEQ_COLS = ["first_seq", "last_seq"]
 
 
 def _route_filter(table: str) -> Column:
@@ -43,8 +46,7 @@ def _route_filter(table: str) -> Column:
 
 def route(events: DataFrame) -> dict[str, DataFrame]:
     """One filtered frame per target table. Cache ``events`` if all four are used."""
-    return {t: events.where(_route_filter(t))
-            for t in ("payment_intents", "charges", "refunds", "chargebacks")}
+    return {t: events.where(_route_filter(t)) for t in ENTITY_TABLES}
 
 
 def route_counts(events: DataFrame) -> DataFrame:
@@ -54,39 +56,6 @@ def route_counts(events: DataFrame) -> DataFrame:
     return events.groupBy(target.alias("target_table")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _s(name: str) -> str:
-    return name
-
-
-def _expr(e: str | Callable[[], Column]) -> Column:
-    return F.col(e) if isinstance(e, str) else e()
-
-
-SPECS: dict[str, FoldSpec] = {
-    "payment_intents": FoldSpec("payment_intents", K2, {
-        "intent_id": _s("intent_id"), "transaction_id": _s("transaction_id"),
-        "idempotency_key": _s("idempotency_key"), "user_id": _s("user_id"),
-        "merchant_id": _s("merchant_id"), "amount_minor": _s("amount_minor"),
-        "currency": _s("currency"), "source_system": _s("source_system")}),
-    "charges": FoldSpec("charges", K2, {
-        "charge_id": _s("charge_id"), "transaction_id": _s("transaction_id"),
-        "idempotency_key": _s("idempotency_key"), "intent_id": _s("intent_id"),
-        "amount_minor": _s("amount_minor"), "currency": _s("currency"),
-        "payment_method": _s("payment_method"), "source_system": _s("source_system")}),
-    "refunds": FoldSpec("refunds", K2, {
-        "refund_id": _s("refund_id"), "transaction_id": _s("transaction_id"),
-        "idempotency_key": _s("idempotency_key"), "charge_id": _s("charge_id"),
-        "amount_minor": _s("amount_minor"), "currency": _s("currency"),
-        "refund_reason": _s("refund_reason"),
-        "is_partial": lambda: default_if_absent(F.col("is_partial"), "is_partial", None, False),
-        "source_system": _s("source_system")}),
-    "chargebacks": FoldSpec("chargebacks", ["chargeback_id"], {
-        "chargeback_id": _s("chargeback_id"), "charge_id": _s("charge_id"),
-        "amount_minor": _s("amount_minor"), "reason": _s("reason")},
-        extra_first_time=("filed_at",)),
-}
-
-
 def _touch(applied_at: datetime | Column | None) -> Column:
     """NOW() of the write: one literal per batch, or each row's ingestion time."""
     if applied_at is None:
@@ -96,79 +65,106 @@ def _touch(applied_at: datetime | Column | None) -> Column:
     return F.lit(applied_at).cast("timestamp")
 
 
-def fold_events(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORDER,
-                applied_at: datetime | Column | None = None, routed: bool = False) -> DataFrame:
-    """Fold one batch of events into rows of ``table`` (schema order)."""
-    spec = SPECS[table]
-    src = events if routed else events.where(_route_filter(table))
+def _non_empty(c: str) -> Column:
+    return F.col(c).isNotNull() & (F.col(c) != "")
+
+
+# Column expressions of each table's candidate row, from one event.
+def _entity_columns(table: str, touch: Column, available: Sequence[str]) -> dict[str, Column]:
+    c = F.col
+    common = {"status": c("status"), "created_at": touch, "updated_at": touch}
+    if table == "payment_intents":
+        cols = {n: c(n) for n in ["intent_id", "transaction_id", "idempotency_key", "user_id",
+                                  "merchant_id", "amount_minor", "currency", "source_system"]}
+    elif table == "charges":
+        cols = {n: c(n) for n in ["charge_id", "transaction_id", "idempotency_key", "intent_id",
+                                  "amount_minor", "currency", "payment_method", "source_system"]}
+    elif table == "refunds":
+        cols = {n: c(n) for n in ["refund_id", "transaction_id", "idempotency_key", "charge_id",
+                                  "amount_minor", "currency", "refund_reason", "source_system"]}
+        present = c("present_keys") if "present_keys" in available else None
+        cols["is_partial"] = default_if_absent(c("is_partial"), "is_partial", present, False)
+    elif table == "chargebacks":
+        cols = {n: c(n) for n in ["chargeback_id", "charge_id", "amount_minor", "reason"]}
+        cols["filed_at"] = touch
+    else:
+        raise KeyError(table)
+    return {**cols, **common}
+
+
+def candidates(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORDER,
+               applied_at: datetime | Column | None = None, routed: bool = False) -> DataFrame:
+    """Each event as a row of ``table`` plus ``first_seq`` / ``last_seq`` (its arrival)."""
     seq = arrival_seq(order)
     touch = _touch(applied_at)
-    key_struct_names = [f"_k_{c}" for c in spec.key]
-    folded = (src.select(*[F.col(c).alias(f"_k_{c}") for c in spec.key],
-                         F.struct(*[_expr(e).alias(n) for n, e in spec.first.items()]).alias("_first"),
-                         F.col("status"), touch.alias("_touch"), seq.alias("_seq"))
-              .groupBy(*key_struct_names)
-              .agg(F.min_by("_first", "_seq").alias("_first"),
-                   F.max_by("status", "_seq").alias("status"),
-                   F.min_by("_touch", "_seq").alias("created_at"),
-                   F.max_by("_touch", "_seq").alias("updated_at")))
-    cols = {n: F.col(f"_first.{n}") for n in spec.first}
-    cols["status"] = F.col("status")
-    cols["created_at"] = F.col("created_at")
-    cols["updated_at"] = F.col("updated_at")
-    for c in spec.extra_first_time:
-        cols[c] = F.col("created_at")
     schema = TABLES[table].schema
-    return folded.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    if table in ENTITY_TABLES:
+        src = events if routed else events.where(_route_filter(table))
+        cols = _entity_columns(table, touch, src.columns)
+    elif table == "users":
+        src = events.where(_non_empty("user_id"))
+        cols = {"user_id": F.col("user_id"), "email": user_email(F.col("user_id")),
+                "created_at": touch, "updated_at": touch}
+    elif table == "merchants":
+        src = events.where(_non_empty("merchant_id"))
+        cols = {"merchant_id": F.col("merchant_id"), "merchant_name": F.col("merchant_id"),
+                "country": F.lit(None).cast("string"), "created_at": touch, "updated_at": touch}
+    elif table == "payment_status_history":
+        src = history_rows(events, "entity")
+        cols = {n: F.col(n) for n in schema.fieldNames()}
+    else:
+        raise KeyError(table)
+    return src.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields],
+                      seq.alias("first_seq"), seq.alias("last_seq"))
+
+
+def fold_rows(rows: DataFrame, table: str) -> DataFrame:
+    """Fold candidate or already-folded rows of ``table`` by key (keeps the seq columns)."""
+    key = KEYS[table]
+    names = TABLES[table].column_names
+    last = LAST_WINS.get(table, [])
+    first = [c for c in names if c not in key and c not in last]
+    aggs = [F.min_by(F.struct(*[F.col(c) for c in first]), "first_seq").alias("_f")]
+    if last:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in last]), "last_seq").alias("_l"))
+    aggs += [F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq")]
+    folded = rows.groupBy(*key).agg(*aggs)
+    out = [F.col(c) if c in key else F.col(f"_l.{c}" if c in last else f"_f.{c}").alias(c)
+           for c in names]
+    return folded.select(*out, *SEQ_COLS)
+
+
+def fold_events(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORDER,
+                applied_at: datetime | Column | None = None, routed: bool = False,
+                keep_seq: bool = False) -> DataFrame:
+    """Fold a batch of events into rows of ``table`` (schema column order)."""
+    out = fold_rows(candidates(events, table, order, applied_at, routed), table)
+    return out if keep_seq else out.drop(*SEQ_COLS)
 
 
-def merge_into(target: DataFrame, folded_batch: DataFrame, table: str) -> DataFrame:
-    """Full-outer merge of a folded batch into the current target (E3-E6 across batches).
+def merge_into(target: DataFrame, batch: DataFrame, table: str) -> DataFrame:
+    """Merge a folded batch into a folded target, both with seq columns (E3-E6 across batches).
 
-    The target row ranks before the batch row: first-wins columns and
-    ``created_at`` stay, ``status`` and ``updated_at`` come from the batch.
+    Because both sides carry their arrival bounds, an existing target row
+    sorts before every later delivery and a redelivered old batch changes
+    nothing: the merge is the same fold.
     """
-    spec = SPECS[table]
-    names = TABLES[table].column_names
-    keep_first = [c for c in names if c not in ("status", "updated_at")]
-    both = (target.select(*names, F.lit(0).alias("_src"))
-            .unionByName(folded_batch.select(*names, F.lit(1).alias("_src"))))
-    merged = both.groupBy(*spec.key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in keep_first if c not in spec.key]), "_src").alias("_f"),
-        F.max_by("status", "_src").alias("status"),
-        F.max_by("updated_at", "_src").alias("updated_at"))
-    return merged.select(*[F.col(c) if c in spec.key or c in ("status", "updated_at")
-                           else F.col(f"_f.{c}").alias(c) for c in names])
-
-
-# --- E1 / E2 ----------------------------------------------------------------------
-def _non_empty(c: str) -> Column:
-    return F.col(c).isNotNull() & (F.col(c) != "")
+    return fold_rows(target.unionByName(batch), table)
 
 
 def derive_users(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
                  applied_at: datetime | Column | None = None) -> DataFrame:
     """E1 + B5 + C13: one user row per non-empty user_id, first write wins."""
-    src = events.where(_non_empty("user_id")).select(
-        "user_id", _touch(applied_at).alias("created_at"), *order)
-    first = first_per_key(src, ["user_id"], order)
-    return first.select("user_id", user_email(F.col("user_id")).alias("email"),
-                        F.col("created_at").cast("timestamp").alias("created_at"),
-                        F.col("created_at").cast("timestamp").alias("updated_at"))
+    return fold_events(events, "users", order, applied_at)
 
 
 def derive_merchants(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
                      applied_at: datetime | Column | None = None) -> DataFrame:
     """E2 + B5 + C13: merchant_name = merchant_id, country never set."""
-    src = events.where(_non_empty("merchant_id")).select(
-        "merchant_id", _touch(applied_at).alias("created_at"), *order)
-    first = first_per_key(src, ["merchant_id"], order)
-    return first.select("merchant_id", F.col("merchant_id").alias("merchant_name"),
-                        F.lit(None).cast("string").alias("country"),
-                        F.col("created_at").cast("timestamp").alias("created_at"),
-                        F.col("created_at").cast("timestamp").alias("updated_at"))
+    return fold_events(events, "merchants", order, applied_at)
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """JN6: ON CONFLICT DO NOTHING -- the rows whose key the target lacks (``left_anti``)."""
     return rows.join(target.select(*key), list(key), "left_anti")
+

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.normalise import payload_field
 from ledgerlake.operators import dedup, lifecycle, reports, upsert, validate
+from ledgerlake.operators.history import history_rows
 from ledgerlake.plans import stages
 from ledgerlake.plans.oracle import with_events
 from ledgerlake.plans.oracle_tables import all_tables_ctes, fold_cte
@@ -382,7 +383,7 @@ SELECT ids_set, count(*) AS n, ids_set = 1 AS passes FROM (
 GROUP BY ids_set"""))
 def c7_one_entity_literal(spark, sf_dir):
     """C7 on every delivery with all ids kept (the producer's literal rows)."""
-    rows = stages.history_rows(_ev(spark, sf_dir), entity_mode="literal")
+    rows = history_rows(_ev(spark, sf_dir), entity_mode="literal")
     return validate.one_entity_summary(rows)
 
 

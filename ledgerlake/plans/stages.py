@@ -15,25 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.normalise import encode_payload, normalise_events, stable_uuid
+from ledgerlake.functions.normalise import encode_payload, normalise_events
 from ledgerlake.operators.dedup import dedup_history
+from ledgerlake.operators.history import history_rows
 from ledgerlake.operators.upsert import derive_merchants, derive_users, fold_events
-from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, K3, PRODUCER_FIELDS
+from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS
 from ledgerlake.sources.payment_log import payment_events
 
-# event type -> the id column the log row keeps in entity mode
-ENTITY_OF_EVENT = {
-    "payment_intent_created": "intent_id",
-    "payment_intent_authorized": "intent_id",
-    "payment_intent_failed": "intent_id",
-    "settlement_recorded": "intent_id",
-    "capture_succeeded": "charge_id",
-    "refund_recorded": "refund_id",
-    "chargeback_received": "chargeback_id",
-}
-ENTITY_IDS = ["intent_id", "charge_id", "refund_id", "chargeback_id"]
-
-
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payment_events(spark, sf_dir)
 
@@ -48,24 +36,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_events(with_payload(raw_events(spark, sf_dir)))
 
 
-def history_rows(evs: DataFrame, entity_mode: str = "entity") -> DataFrame:
-    """Rows of ``payment_status_history`` for each delivery (before A4's K3 check).
-
-    ``entity``: keep only the id of the entity the event is about, so the
-    one-entity CHECK holds; ``literal``: keep every id, as the producer
-    sends them (the CHECK then fails for captures and later events).
-    """
-    if entity_mode == "entity":
-        et = F.col("event_type")
-        ids = {c: F.when(et.isin(*[e for e, k in ENTITY_OF_EVENT.items() if k == c]), F.col(c))
-               for c in ENTITY_IDS}
-    else:
-        ids = {c: F.col(c) for c in ENTITY_IDS}
-    cols = {"event_id": stable_uuid(*K3), **ids}
-    return evs.withColumns(cols).select(*HISTORY_COLUMNS, *[c for c in ARRIVAL_ORDER
-                                                             if c not in HISTORY_COLUMNS])
-
-
 def status_history(evs: DataFrame, entity_mode: str = "entity",
                    order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """A4 over one batch: the first delivery per K3 becomes the log row (insert if absent)."""
