@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.schemas import (
     ARRIVAL_ORDER, CURRENCY_MINOR_UNITS, DEFAULT_MINOR_UNITS, EMAIL_DOMAIN, EVENT_STATUS,
-    EVENT_STEP, ISO_TS_PATTERN, PRODUCER_FIELDS, RAW_EVENT_FIELDS, V0_EVENT_TYPES,
-    V1_STATUS_EVENT_TYPES,
+    EVENT_STEP, ISO_TS_PATTERN, PRODUCER_FIELDS, RAW_EVENT_FIELDS, V0_EVENT_SCHEMA,
+    V0_EVENT_TYPES, V1_EVENT_SCHEMA, V1_STATUS_EVENT_TYPES,
 )
 
 
@@ -179,7 +179,8 @@ def unify_v0(v0: DataFrame) -> DataFrame:
         "is_partial": F.lit(None).cast("boolean"),
         "reason": F.lit(None).cast("string"),
     }
-    return v0.select(*[cols[c].alias(c) for c in RAW_EVENT_FIELDS])
+    extra = [c for c in v0.columns if c not in V0_EVENT_SCHEMA.fieldNames()]
+    return v0.select(*[cols[c].alias(c) for c in RAW_EVENT_FIELDS], *extra)
 
 
 def unify_v1(v1: DataFrame) -> DataFrame:
@@ -211,7 +212,8 @@ def unify_v1(v1: DataFrame) -> DataFrame:
         "is_partial": F.lit(None).cast("boolean"),
         "reason": F.lit(None).cast("string"),
     }
-    return v1.select(*[cols[c].alias(c) for c in RAW_EVENT_FIELDS])
+    extra = [c for c in v1.columns if c not in V1_EVENT_SCHEMA.fieldNames()]
+    return v1.select(*[cols[c].alias(c) for c in RAW_EVENT_FIELDS], *extra)
 
 
 def unify_event_versions(current: DataFrame | None = None, v0: DataFrame | None = None,
@@ -219,12 +221,12 @@ def unify_event_versions(current: DataFrame | None = None, v0: DataFrame | None
     """Bag union of all shapes in the current shape (``unionByName``, no shuffle)."""
     parts = []
     if current is not None:
-        parts.append(current.select(*RAW_EVENT_FIELDS))
+        parts.append(current)
     if v0 is not None:
         parts.append(unify_v0(v0))
     if v1 is not None:
         parts.append(unify_v1(v1))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out

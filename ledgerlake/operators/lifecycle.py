@@ -186,3 +186,32 @@ def split_late(events: DataFrame, limit_seconds: int) -> tuple[DataFrame, DataFr
     lag = F.col("ingestion_timestamp").cast("long") - F.col("event_timestamp").cast("long")
     late_cond = F.coalesce(lag > limit_seconds, F.lit(False))
     return events.where(~late_cond), events.where(late_cond)
+
+
+# --- JN4: the intent -> charge -> refund / chargeback chain ------------------------------
+def payment_chain(tables) -> DataFrame:
+    """JN4: one row per intent with its charge and its children rolled up.
+
+    Refunds and chargebacks are aggregated per charge *before* the joins, so
+    a charge with many refunds never fans the intent row out; every join is
+    then one-to-one on its key.
+    """
+    charges = tables["charges"].select(
+        "intent_id", "charge_id", F.col("status").alias("charge_status"),
+        F.col("amount_minor").alias("captured_minor"))
+    refunds = tables["refunds"].groupBy("charge_id").agg(
+        F.count(F.lit(1)).alias("refunds"), F.sum("amount_minor").alias("refunded_minor"))
+    cbs = tables["chargebacks"].groupBy("charge_id").agg(
+        F.count(F.lit(1)).alias("chargebacks"), F.sum("amount_minor").alias("charged_back_minor"))
+    intents = tables["payment_intents"].select(
+        "intent_id", "transaction_id", F.col("status").alias("intent_status"), "currency")
+    return (intents.join(charges, "intent_id", "left")
+            .join(refunds, "charge_id", "left")
+            .join(cbs, "charge_id", "left")
+            .select("intent_id", "transaction_id", "intent_status", "currency", "charge_id",
+                    "charge_status", "captured_minor",
+                    F.coalesce("refunds", F.lit(0)).cast("long").alias("refunds"),
+                    F.coalesce("refunded_minor", F.lit(0)).cast("long").alias("refunded_minor"),
+                    F.coalesce("chargebacks", F.lit(0)).cast("long").alias("chargebacks"),
+                    F.coalesce("charged_back_minor", F.lit(0)).cast("long")
+                    .alias("charged_back_minor")))

@@ -8,9 +8,6 @@ name the oracle uses.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.normalise import payload_field
@@ -19,28 +16,12 @@ from ledgerlake.operators.history import history_rows
 from ledgerlake.plans import stages
 from ledgerlake.plans.oracle import with_events
 from ledgerlake.plans.oracle_tables import all_tables_ctes, fold_cte
+from ledgerlake.plans.registry import register
 from ledgerlake.schemas import TABLES
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
 SEQ = "ingestion_timestamp, ord, copy_no"
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return stages.to_wallclock(fn(spark, sf_dir))
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = sql
-        return run
-    return deco
-
-
 def _ev(spark, sf_dir):
     return stages.events(spark, sf_dir)
 

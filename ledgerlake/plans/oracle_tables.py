@@ -97,6 +97,7 @@ t_payment_status_history AS (
     event_type,
     CASE WHEN event_type = 'chargeback_received' THEN chargeback_id END AS chargeback_id,
     status, event_timestamp, ingestion_timestamp, source_system,
+    json_object('event_id', event_id, 'transaction_id', transaction_id)::VARCHAR AS payload,
     event_id AS payload_event_id, failure_code AS payload_failure_code, amount AS payload_amount,
     ord, copy_no
   FROM dd
