@@ -49,14 +49,13 @@ def parse_iso_timestamp(text: Column) -> Column:
     """ISO-8601 text -> instant (TimestampType); null when unreadable.
 
     A regex guard keeps Spark's lenient parser from accepting forms the
-    reference rejects (``2024``, ``2024-01``, padded text). A missing offset
-    is read as UTC (the session zone).
+    reference rejects (``2024``, ``2024-01``, padded text); every form the
+    guard lets through (``T`` or space, ``Z``, ``+02:00`` or ``+0200``,
+    fractions, date only) Spark's own parser reads. A missing offset is read
+    as UTC (the session zone).
     """
     s = text.cast("string")
-    guarded = F.when(s.rlike(ISO_TS_PATTERN), s)
-    # Offsets written without a colon (+0200) are given one for the parser.
-    fixed = F.regexp_replace(guarded, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.try_to_timestamp(F.regexp_replace(fixed, " ", "T"))
+    return F.try_to_timestamp(F.when(s.rlike(ISO_TS_PATTERN), s))
 
 
 def normalise_timestamps(df: DataFrame,

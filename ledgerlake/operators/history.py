@@ -23,9 +23,12 @@ ENTITY_OF_EVENT = {
     "chargeback_received": "chargeback_id",
 }
 ENTITY_IDS = ["intent_id", "charge_id", "refund_id", "chargeback_id"]
+# Event columns a log row is built from (besides the K3 and the arrival order).
+HISTORY_INPUTS = ENTITY_IDS + ["status", "event_timestamp", "ingestion_timestamp",
+                               "source_system", "payload"]
 
 
-def history_rows(evs: DataFrame, entity_mode: str = "entity") -> DataFrame:
+def history_rows(evs: DataFrame, entity_mode: str = "entity", with_id: bool = True) -> DataFrame:
     """One ``payment_status_history`` row per delivery (before A4's K3 check).
 
     ``entity``: keep only the id of the entity the event is about, so the
@@ -41,6 +44,6 @@ def history_rows(evs: DataFrame, entity_mode: str = "entity") -> DataFrame:
         ids = {c: F.col(c) for c in ENTITY_IDS}
     else:
         raise ValueError(f"unknown entity_mode {entity_mode!r}")
-    cols = {"event_id": stable_uuid(*K3), **ids}
+    cols = {"event_id": stable_uuid(*K3) if with_id else F.lit(None).cast("string"), **ids}
     extra = [c for c in ARRIVAL_ORDER if c not in HISTORY_COLUMNS and c in evs.columns]
     return evs.withColumns(cols).select(*HISTORY_COLUMNS, *extra)

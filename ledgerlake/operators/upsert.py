@@ -25,7 +25,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.normalise import arrival_seq, default_if_absent, user_email
+from ledgerlake.functions.normalise import (
+    arrival_seq, default_if_absent, stable_uuid, user_email,
+)
 from ledgerlake.operators.history import history_rows
 from ledgerlake.schemas import ARRIVAL_ORDER, EVENT_TARGET, K2, K3, TABLES
 
@@ -37,6 +39,8 @@ KEYS: dict[str, list[str]] = {
 # Columns ON CONFLICT overwrites (from the last arrival); the rest stay from the first.
 LAST_WINS: dict[str, list[str]] = {t: ["status", "updated_at"] for t in ENTITY_TABLES}
 SEQ_COLS = ["first_seq", "last_seq"]
+# Columns that are a function of the table key: computed once per folded row.
+FROM_KEY = {"payment_status_history": {"event_id": lambda: stable_uuid(*K3)}}
 
 
 def _route_filter(table: str) -> Column:
@@ -82,7 +86,9 @@ def _entity_columns(table: str, touch: Column, available: Sequence[str]) -> dict
     elif table == "refunds":
         cols = {n: c(n) for n in ["refund_id", "transaction_id", "idempotency_key", "charge_id",
                                   "amount_minor", "currency", "refund_reason", "source_system"]}
-        present = c("present_keys") if "present_keys" in available else None
+        # Absent -> false, explicit null stays null; the message's keys are
+        # parsed here, for refund rows only.
+        present = F.json_object_keys(c("payload")) if "payload" in available else None
         cols["is_partial"] = default_if_absent(c("is_partial"), "is_partial", present, False)
     elif table == "chargebacks":
         cols = {n: c(n) for n in ["chargeback_id", "charge_id", "amount_minor", "reason"]}
@@ -110,8 +116,9 @@ def candidates(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORD
         cols = {"merchant_id": F.col("merchant_id"), "merchant_name": F.col("merchant_id"),
                 "country": F.lit(None).cast("string"), "created_at": touch, "updated_at": touch}
     elif table == "payment_status_history":
-        src = history_rows(events, "entity")
+        src = history_rows(events, "entity", with_id=False)
         cols = {n: F.col(n) for n in schema.fieldNames()}
+        cols["event_id"] = F.lit(None).cast("string")
     else:
         raise KeyError(table)
     return src.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields],
@@ -123,14 +130,20 @@ def fold_rows(rows: DataFrame, table: str) -> DataFrame:
     key = KEYS[table]
     names = TABLES[table].column_names
     last = LAST_WINS.get(table, [])
-    first = [c for c in names if c not in key and c not in last]
+    derived = FROM_KEY.get(table, {})
+    first = [c for c in names if c not in key and c not in last and c not in derived]
     aggs = [F.min_by(F.struct(*[F.col(c) for c in first]), "first_seq").alias("_f")]
     if last:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in last]), "last_seq").alias("_l"))
     aggs += [F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq")]
     folded = rows.groupBy(*key).agg(*aggs)
-    out = [F.col(c) if c in key else F.col(f"_l.{c}" if c in last else f"_f.{c}").alias(c)
-           for c in names]
+    def out_col(c):
+        if c in key:
+            return F.col(c)
+        if c in derived:
+            return derived[c]().alias(c)
+        return F.col(f"_l.{c}" if c in last else f"_f.{c}").alias(c)
+    out = [out_col(c) for c in names]
     return folded.select(*out, *SEQ_COLS)
 
 

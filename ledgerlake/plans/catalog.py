@@ -26,8 +26,8 @@ def _ev(spark, sf_dir):
     return stages.events(spark, sf_dir)
 
 
-def _dd(spark, sf_dir):
-    return dedup.dedup_history(_ev(spark, sf_dir))
+def _dd(spark, sf_dir, columns=("status", "event_timestamp")):
+    return dedup.dedup_history(_ev(spark, sf_dir), columns=columns)
 
 
 # --- flagship: B1, B2 -> D1 -> G1 -> F2 -> H2 ----------------------------------------
@@ -84,8 +84,9 @@ def b7_log_ids(spark, sf_dir):
     "SELECT transaction_id, idempotency_key, event_type, event_id, copy_no, ingestion_timestamp "
     "FROM dd", dedup=True))
 def d1_dedup_history(spark, sf_dir):
-    return _dd(spark, sf_dir).select("transaction_id", "idempotency_key", "event_type",
-                                     "event_id", "copy_no", "ingestion_timestamp")
+    return _dd(spark, sf_dir, ["event_id"]).select(
+        "transaction_id", "idempotency_key", "event_type", "event_id", "copy_no",
+        "ingestion_timestamp")
 
 
 @register("d2_dedup_raw", with_events(f"""
@@ -93,7 +94,7 @@ SELECT transaction_id, idempotency_key, event_type, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_id, idempotency_key ORDER BY {SEQ}) rn
   FROM ev) WHERE rn = 1"""))
 def d2_dedup_raw(spark, sf_dir):
-    return dedup.dedup_raw(_ev(spark, sf_dir)).select(
+    return dedup.dedup_raw(_ev(spark, sf_dir), columns=["event_type", "event_id"]).select(
         "transaction_id", "idempotency_key", "event_type", "event_id")
 
 
@@ -244,7 +245,7 @@ def h3_first_n(spark, sf_dir):
 def f4_apply_metrics(spark, sf_dir):
     """attempted writes beside rows the log actually gained."""
     ev = _ev(spark, sf_dir)
-    return reports.apply_metrics(ev, dedup.dedup_history(ev))
+    return reports.apply_metrics(ev, dedup.dedup_history(ev, columns=[]))
 
 
 # --- J: life cycle -------------------------------------------------------------------

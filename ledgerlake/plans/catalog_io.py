@@ -17,7 +17,7 @@ from ledgerlake.plans import stages
 from ledgerlake.plans.oracle import with_events
 from ledgerlake.plans.oracle_tables import all_tables_ctes
 from ledgerlake.plans.registry import register
-from ledgerlake.schemas import HISTORY_COLUMNS, TABLES, UUID_PATTERN
+from ledgerlake.schemas import TABLES, UUID_PATTERN
 from ledgerlake.session import work_dir
 from ledgerlake.sources import events as src
 from ledgerlake.streaming import jobs
@@ -51,8 +51,9 @@ def a1_json_events(spark, sf_dir):
     msgs = src.to_messages(stages.raw_events(spark, sf_dir))
     evs = normalise_events(src.parse_event_messages(msgs))
     return evs.select("event_id", "copy_no", "event_type", "amount_minor", "ingestion_timestamp",
-                      default_if_absent(F.col("is_partial"), "is_partial", F.col("present_keys"),
-                                        False).alias("is_partial"))
+                      default_if_absent(F.col("is_partial"), "is_partial",
+                                        src.present_keys(F.col("payload")), False)
+                      .alias("is_partial"))
 
 
 # --- A2 / ST5 / C11 / ST6: change feed ------------------------------------------------------
@@ -303,8 +304,7 @@ def _report_sql() -> str:
 @register("c12_constraint_report", with_events(_report_sql(), dedup=True, extra=all_tables_ctes()))
 def c12_constraint_report(spark, sf_dir):
     """C5-C10 + C12: every declared rule of every table, one row each with its count."""
-    tables = stages.entity_tables(_ev(spark, sf_dir))
-    tables["payment_status_history"] = tables["payment_status_history"].select(*HISTORY_COLUMNS)
+    tables = stages.materialise_tables(spark, _ev(spark, sf_dir), work_dir(spark, "c12"))
     return validate.constraint_report(tables)
 
 

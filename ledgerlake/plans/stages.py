@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.normalise import encode_payload, normalise_events
 from ledgerlake.operators.dedup import dedup_history
-from ledgerlake.operators.history import history_rows
+from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
 from ledgerlake.operators.upsert import derive_merchants, derive_users, fold_events
 from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS
 from ledgerlake.sources.payment_log import payment_events
@@ -39,7 +39,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_history(evs: DataFrame, entity_mode: str = "entity",
                    order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """A4 over one batch: the first delivery per K3 becomes the log row (insert if absent)."""
-    return history_rows(dedup_history(evs, order), entity_mode)
+    return history_rows(dedup_history(evs, order, columns=HISTORY_INPUTS), entity_mode)
 
 
 def entity_tables(evs: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
@@ -55,6 +55,24 @@ def entity_tables(evs: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
     return out
 
 
+def materialise_tables(spark: SparkSession, evs: DataFrame, path: str,
+                       order: Sequence[str] = ARRIVAL_ORDER) -> dict[str, DataFrame]:
+    """Fold every table from one batch of events, write them under ``path`` and read back.
+
+    Each fold reads the events once, pruned to its own columns; the written
+    tables cut the lineage, so a report that reads a table in several
+    branches (each pruned differently, so no exchange could be shared)
+    scans parquet instead of refolding the log every time.
+    """
+    for name, df in entity_tables(evs, order).items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    return {name: spark.read.parquet(f"{path}/{name}") for name in TABLE_ORDER}
+
+
+TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",
+               "payment_status_history"]
+
+
 def to_wallclock(df: DataFrame) -> DataFrame:
     """Present instants as UTC wall-clock ``timestamp_ntz`` (session zone is UTC)."""
     cols = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields

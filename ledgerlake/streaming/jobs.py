@@ -13,44 +13,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.functions.normalise import (
-    arrival_seq, encode_payload, normalise_events, stable_uuid,
-)
+from ledgerlake.functions.normalise import arrival_seq, normalise_events, stable_uuid
 from ledgerlake.operators.dedup import dedup_history, dedup_raw
-from ledgerlake.operators.history import history_rows
-from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, PRODUCER_FIELDS
+from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
+from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, PRODUCER_FIELDS, RAW_EVENT_SCHEMA
 from ledgerlake.sources.events import parse_event_messages
 from ledgerlake.streaming.store import FoldedStore, first_write_wins
 
 
-def with_payload(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("payload", encode_payload(PRODUCER_FIELDS))
-
-
 # --- inputs ------------------------------------------------------------------------
 def write_message_files(raw: DataFrame, path: str, n_files: int = 8) -> str:
-    """Write raw deliveries as JSON-lines message files, range-split by ingestion time.
+    """Write raw deliveries as JSON-lines message files (``n_files`` even splits).
 
     Used to replay a derived log through a file stream source; the order
     columns (``ord``, ``copy_no``) travel as two extra JSON keys.
     """
     fields = [F.col(c) for c in PRODUCER_FIELDS + ["ord", "copy_no"]]
     value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    (raw.select(value.alias("value"), F.col("ingestion_timestamp").alias("_ts"))
-     .repartitionByRange(n_files, "_ts").sortWithinPartitions("_ts")
-     .select("value").write.mode("overwrite").text(path))
+    # Spread evenly: the folds downstream do not depend on the order of files.
+    raw.select(value.alias("value")).repartition(n_files).write.mode("overwrite").text(path)
     return path
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """A1 as a stream: JSON message files -> normalised events, as batch normalises them."""
-    msgs = (spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(path)
-            .select("value",
-                    F.get_json_object("value", "$.ord").cast("int").alias("ord"),
-                    F.get_json_object("value", "$.copy_no").cast("int").alias("copy_no")))
-    return normalise_events(with_payload(parse_event_messages(msgs)))
+    msgs = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(path)
+    schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField("ord", T.IntegerType()),
+                                                     T.StructField("copy_no", T.IntegerType())])
+    return normalise_events(parse_event_messages(msgs, schema=schema))
 
 
 # --- ST3: streaming first-per-K3 -------------------------------------------------------
@@ -118,13 +111,13 @@ def read_lifecycle(spark: SparkSession, path: str) -> DataFrame:
 def append_status_history(batch: DataFrame, target: DataFrame, entity_mode: str = "entity",
                           order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """A4: the batch's first delivery per K3, only where the target has no row for that K3."""
-    new_rows = history_rows(dedup_history(batch, order), entity_mode)
+    new_rows = history_rows(dedup_history(batch, order, columns=HISTORY_INPUTS), entity_mode)
     return first_write_wins(target, new_rows, K3)
 
 
 def land_raw(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """``raw_payment_events`` rows -- first delivery per K2, ``processed`` false."""
-    first = dedup_raw(events, order)
+    first = dedup_raw(events, order, columns=["event_type", "payload"])
     return first.select(stable_uuid(*K2).alias("event_id"), "transaction_id", "idempotency_key",
                         "event_type", "payload", F.col("ingestion_timestamp"),
                         F.lit(False).alias("processed"))
