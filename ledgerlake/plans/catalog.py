@@ -38,7 +38,7 @@ SELECT transition, count(*) AS n FROM (
 GROUP BY transition ORDER BY n DESC LIMIT 20""", dedup=True))
 def top_transitions(spark, sf_dir):
     """Top 20 life-cycle transitions after deduplication (the reference's summary table)."""
-    counts = reports.transition_counts(_dd(spark, sf_dir))
+    counts = reports.transition_counts(_dd(spark, sf_dir), collapse=False)
     return reports.top_transitions(counts, 20).select("transition", "n")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from ledgerlake.functions.normalise import arrival_seq, normalise_events, stable_uuid
 from ledgerlake.operators.dedup import dedup_history, dedup_raw
@@ -26,15 +27,29 @@ from ledgerlake.streaming.store import FoldedStore, first_write_wins
 
 # --- inputs ------------------------------------------------------------------------
 def write_message_files(raw: DataFrame, path: str, n_files: int = 8) -> str:
-    """Write raw deliveries as JSON-lines message files (``n_files`` even splits).
-
-    Used to replay a derived log through a file stream source; the order
-    columns (``ord``, ``copy_no``) travel as two extra JSON keys.
+    """Write raw deliveries as JSON-lines message files, in arrival order.
+
+    Used to replay a derived log through a file stream source, which takes
+    files in modification-time order. The log is range-split by ingestion
+    time in one job, then each range is appended as its own file, oldest
+    first, so the stream sees arrival order -- as a live feed would, and as
+    ingestion-time watermarks assume. The order columns (``ord``,
+    ``copy_no``) travel as two extra JSON keys.
     """
     fields = [F.col(c) for c in PRODUCER_FIELDS + ["ord", "copy_no"]]
     value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    # Spread evenly: the folds downstream do not depend on the order of files.
-    raw.select(value.alias("value")).repartition(n_files).write.mode("overwrite").text(path)
+    stage = f"{path.rstrip('/')}-staged"
+    (raw.select(value.alias("value"), F.col("ingestion_timestamp").alias("_ts"))
+     .repartitionByRange(n_files, "_ts")
+     .select("value", F.spark_partition_id().alias("_chunk"))
+     .write.mode("overwrite").partitionBy("_chunk").text(stage))
+    spark = raw.sparkSession
+    for chunk in range(n_files):   # a handful of file moves, not a loop over data
+        try:
+            part = spark.read.text(f"{stage}/_chunk={chunk}")
+        except AnalysisException:  # an empty range has no folder
+            continue
+        part.coalesce(1).write.mode("append").text(path)
     return path
 
 
