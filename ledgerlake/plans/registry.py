@@ -21,6 +21,8 @@ def register(name: str, sql: str | None = None):
     """
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # operators read and present instants in UTC (the reference's database zone)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return to_wallclock(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
