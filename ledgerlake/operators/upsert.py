@@ -125,9 +125,9 @@ def candidates(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORD
                       seq.alias("first_seq"), seq.alias("last_seq"))
 
 
-def fold_rows(rows: DataFrame, table: str) -> DataFrame:
+def fold_rows(rows: DataFrame, table: str, key: Sequence[str] | None = None) -> DataFrame:
     """Fold candidate or already-folded rows of ``table`` by key (keeps the seq columns)."""
-    key = KEYS[table]
+    key = list(key or KEYS[table])
     names = TABLES[table].column_names
     last = LAST_WINS.get(table, [])
     derived = FROM_KEY.get(table, {})
@@ -155,6 +155,18 @@ def fold_events(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_OR
     return out if keep_seq else out.drop(*SEQ_COLS)
 
 
+def refunds_by_id(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
+                  applied_at: datetime | Column | None = None) -> DataFrame:
+    """The refunds table keyed by ``refund_id`` instead of the transaction's K2.
+
+    With one idempotency key per transaction, a second refund folds into the
+    first refund's row and its id is lost (JN5 lists those deliveries). This
+    view keeps one row per refund id, same columns and fold rules.
+    """
+    out = fold_rows(candidates(events, "refunds", order, applied_at), "refunds", key=["refund_id"])
+    return out.drop(*SEQ_COLS)
+
+
 def merge_into(target: DataFrame, batch: DataFrame, table: str) -> DataFrame:
     """Merge a folded batch into a folded target, both with seq columns (E3-E6 across batches).
 

@@ -181,8 +181,9 @@ def f2_transition_counts(spark, sf_dir):
 SELECT event_id, copy_no, status,
        lag(status) OVER (PARTITION BY transaction_id ORDER BY {SEQ}) AS prev_status FROM ev"""))
 def g1_previous_status(spark, sf_dir):
-    return reports.with_previous_status(_ev(spark, sf_dir)).select(
-        "event_id", "copy_no", "status", "prev_status")
+    ev = _ev(spark, sf_dir).select("transaction_id", "event_id", "status", "ingestion_timestamp",
+                                   "ord", "copy_no")
+    return reports.with_previous_status(ev).select("event_id", "copy_no", "status", "prev_status")
 
 
 @register("g2_first_last_status", with_events(f"""
@@ -397,3 +398,11 @@ def e7_intent_status(spark, sf_dir):
     """Settlement moves the intent, capture does not (captured never appears here)."""
     intents = upsert.fold_events(_ev(spark, sf_dir), "payment_intents")
     return intents.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("e5_refunds_by_id", with_events(
+    "SELECT " + ", ".join(TABLES["refunds"].column_names) + " FROM t_refunds_by_id",
+    extra=fold_cte("refunds", ["refund_id"], "refunds_by_id").strip("\n")))
+def e5_refunds_by_id(spark, sf_dir):
+    """The refunds view keyed by refund id: a transaction's second refund keeps its own row."""
+    return upsert.refunds_by_id(_ev(spark, sf_dir))

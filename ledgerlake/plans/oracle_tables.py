@@ -39,8 +39,9 @@ _FOLDS = {
 }
 
 
-def fold_cte(table: str) -> str:
+def fold_cte(table: str, key_override: list[str] | None = None, name: str | None = None) -> str:
     types, key, first = _FOLDS[table]
+    key = key_override or key
     part = ", ".join(key)
     in_list = ", ".join(f"'{t}'" for t in types)
     on = " AND ".join(f"f.{k} = l.{k}" for k in key)
@@ -56,15 +57,16 @@ def fold_cte(table: str) -> str:
             expr = first[c]
             cols.append(f"f.{expr} AS {c}" if expr == c else f"f.fx_{c} AS {c}")
     extra = "".join(f", {e} AS fx_{c}" for c, e in first.items() if e != c)
+    name = name or table
     return f"""
-r_{table} AS (
+r_{name} AS (
   SELECT *{extra},
     row_number() OVER (PARTITION BY {part} ORDER BY {ORDER_ASC}) AS rn_f,
     row_number() OVER (PARTITION BY {part} ORDER BY {ORDER_DESC}) AS rn_l
   FROM ev WHERE event_type IN ({in_list})
-), t_{table} AS (
+), t_{name} AS (
   SELECT {", ".join(cols)}
-  FROM r_{table} f JOIN r_{table} l ON {on} AND f.rn_f = 1 AND l.rn_l = 1
+  FROM r_{name} f JOIN r_{name} l ON {on} AND f.rn_f = 1 AND l.rn_l = 1
 )"""
 
 

@@ -26,12 +26,36 @@ def test_dedup_is_one_shuffle(spark, sf_small):
 
 
 def test_flagship_shuffles(spark, sf_small):
-    # D1 on K3, the lag window on the transaction, the label count; then the top-N
+    # D1 on K3 and the range split run before the checkpoint; the final plan has the
+    # lag window on (transaction, range), the per-range tails, the label count, the top-N
     plan = _plan(entry.queries()["h2_top_transitions"](spark, sf_small))
     assert plan.count("Exchange hashpartitioning") == 3
+    assert "BroadcastExchange" in plan          # the carry table: one row per range
     assert "TakeOrderedAndProject" in plan
 
 
+def test_split_lag_equals_plain_window_with_a_hot_transaction(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators import reports
+    from ledgerlake.plans import stages
+    ev = stages.events(spark, sf_small).drop("payload")
+    hot = (ev.where("transaction_id = 'txn_5'").limit(1)
+           .crossJoin(spark.range(3000).withColumnRenamed("id", "_i"))
+           .withColumn("ingestion_timestamp",
+                       F.col("ingestion_timestamp") + F.make_dt_interval(secs=F.col("_i")))
+           .withColumn("status", F.when(F.col("_i") % 3 == 0, "captured").otherwise("refunded"))
+           .drop("_i"))
+    big = ev.unionByName(hot)
+    plain = reports.transition_counts(big, split_hot=False).select("transition", "n")
+    split = reports.transition_counts(big, split_hot=True, ).select("transition", "n")
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    a = reports.with_previous_status(big).select("event_id", "ingestion_timestamp", "prev_status")
+    b = reports.with_previous_status(big, split_hot=True).select(
+        "event_id", "ingestion_timestamp", "prev_status")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["transition", "n"] and df.count() > 0
