@@ -92,6 +92,19 @@ def st6_snapshot_then_changes(spark, sf_dir):
     return src.snapshot_then_changes(snapshot, changes).select(*_CHANGE_COLS.split(", "))
 
 
+# --- A3: table scan ----------------------------------------------------------------------
+@register("a3_table_scan", with_events(
+    "SELECT charge_id, intent_id, status, amount_minor, currency FROM t_charges",
+    dedup=True, extra=all_tables_ctes()))
+def a3_table_scan(spark, sf_dir):
+    """A3: the operational tables written as parquet, scanned back with their declared
+    schema (only the projected columns are read)."""
+    root = work_dir(spark, "a3")
+    upsert.fold_events(_ev(spark, sf_dir), "charges").write.parquet(f"{root}/charges")
+    charges = src.read_table(spark, "charges", path=f"{root}/charges")
+    return charges.select("charge_id", "intent_id", "status", "amount_minor", "currency")
+
+
 # --- A4 / A6 / JN6 / U1: batch sinks ----------------------------------------------------------
 @register("a4_append_history", with_events(
     "SELECT event_id AS log_event_id, transaction_id, event_type, status FROM ("
