@@ -324,7 +324,8 @@ def j4_illegal_by_event_time(spark, sf_dir):
 
 
 @register("j5_lifecycle_funnel", with_events("""
-SELECT step, transactions, transactions / (SELECT count(*) FROM tt WHERE created = 1) AS share FROM (
+SELECT step, CAST(transactions AS BIGINT) AS transactions,
+       transactions / (SELECT count(*) FROM tt WHERE created = 1) AS share FROM (
   SELECT 'payment_intent_created' AS step, sum(created) AS transactions FROM tt UNION ALL
   SELECT 'payment_intent_authorized', sum(authorized) FROM tt UNION ALL
   SELECT 'payment_intent_failed', sum(failed) FROM tt UNION ALL
