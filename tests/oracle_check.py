@@ -46,6 +46,17 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diff(sdf, sql, con) -> dict:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    s = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+    d = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark, name, fn, sql, sf_dir, con, show=5):
     t = time.time()
     sdf = fn(spark, sf_dir)
@@ -61,8 +72,11 @@ def compare(spark, name, fn, sql, sf_dir, con, show=5):
     order_d = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
     sr = rows_of([tuple(r[i] for i in order_s) for r in s_rows])
     dr = rows_of([tuple(r[i] for i in order_d) for r in d_rows])
-    ok = sorted(s_cols) == sorted(d_cols) and sr == dr
+    types = type_diff(sdf, sql, con)
+    ok = sorted(s_cols) == sorted(d_cols) and sr == dr and not types
     out = dict(name=name, ok=ok, rows=len(s_rows), oracle_rows=len(d_rows), sec=round(ts, 2))
+    if types:
+        out["types"] = types
     if not ok:
         out["cols"] = (sorted(s_cols), sorted(d_cols))
         a, b = set(sr), set(dr)
