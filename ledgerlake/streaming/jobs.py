@@ -77,15 +77,20 @@ def stream_dedup(events: DataFrame, delay: str = "1 day") -> DataFrame:
 
 # --- ST4 / A7: streaming upsert into the folded store ----------------------------------
 def start_upsert_stream(events: DataFrame, store: FoldedStore, checkpoint: str,
-                        available_now: bool = True, applied_at=None) -> StreamingQuery:
+                        available_now: bool = True, applied_at=None,
+                        compact_every: int | None = None) -> StreamingQuery:
     """ST4: every micro-batch folded into all tables at once (``foreachBatch`` + commit record).
 
     Exactly-once from the checkpoint (source offsets) plus the store's
     batch-id guard: a batch replayed after a failure is skipped or redone
-    whole, never half-applied.
+    whole, never half-applied. ``compact_every`` folds the committed deltas
+    into one base after every that many batches, so reads stay one scan
+    of one base plus a bounded number of deltas.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.apply_events(batch, batch_id, applied_at=applied_at)
+        applied = store.apply_events(batch, batch_id, applied_at=applied_at)
+        if applied and compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact()
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
