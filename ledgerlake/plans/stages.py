@@ -19,7 +19,7 @@ from ledgerlake.functions.normalise import encode_payload, normalise_events
 from ledgerlake.operators.dedup import dedup_history
 from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
 from ledgerlake.operators.upsert import derive_merchants, derive_users, fold_events
-from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS
+from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS, TABLES
 from ledgerlake.sources.payment_log import payment_events
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,14 +59,20 @@ def materialise_tables(spark: SparkSession, evs: DataFrame, path: str,
                        order: Sequence[str] = ARRIVAL_ORDER) -> dict[str, DataFrame]:
     """Fold every table from one batch of events, write them under ``path`` and read back.
 
-    Each fold reads the events once, pruned to its own columns; the written
-    tables cut the lineage, so a report that reads a table in several
-    branches (each pruned differently, so no exchange could be shared)
-    scans parquet instead of refolding the log every time.
+    All seven folds are written by one job (a sparse union partitioned by
+    table name), so their stages run side by side. The written tables cut
+    the lineage: a report that reads a table in several branches (each
+    pruned differently, so no exchange could be shared) scans parquet
+    instead of refolding the log every time.
     """
-    for name, df in entity_tables(evs, order).items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-    return {name: spark.read.parquet(f"{path}/{name}") for name in TABLE_ORDER}
+    tables = entity_tables(evs, order)
+    tagged = [df.withColumn("_table", F.lit(name)) for name, df in tables.items()]
+    union = tagged[0]
+    for df in tagged[1:]:
+        union = union.unionByName(df, allowMissingColumns=True)
+    union.write.mode("overwrite").partitionBy("_table").parquet(path)
+    return {name: spark.read.parquet(f"{path}/_table={name}").select(*TABLES[name].column_names)
+            for name in TABLE_ORDER}
 
 
 TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",

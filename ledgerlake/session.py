@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -83,3 +83,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a coarse input at least one partition per core.
+
+    A small file with one row group, or a micro-batch from one file, is read
+    as one split; per-row work (text formatting, JSON and timestamp parsing,
+    partial aggregation) would then run in one task. A large input already
+    has a split per block and is left alone -- no extra shuffle. Checking
+    the split count plans the scan but runs no job.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df

@@ -7,7 +7,8 @@ producer's raw event shape: flat fields, amounts as doubles, timestamps as
 ISO-8601 text with a UTC offset.
 
 Everything is narrow: one scan of ``orders`` (4 columns), two ``explode``
-generators and projections. No shuffle, no Python; the row count grows
+generators and projections. No shuffle (except spreading an input that
+arrives as fewer splits than cores), no Python; the row count grows
 linearly with ``orders``.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import RAW_EVENT_FIELDS
+from ledgerlake.session import spread
 
 # --- fixed values of the derivation (FIXTURES.md section 2) -------------------
 HASH_MULTIPLIER = 2654435761
@@ -61,8 +63,8 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     (lifecycle step 1-5) and ``copy_no`` (0 original, 1 exact copy, 2 retry):
     with ``ingestion_timestamp`` they give the arrival order.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     k = F.col("o_orderkey")
     base = orders.select(
         k.alias("order_key"),

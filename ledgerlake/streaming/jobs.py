@@ -53,9 +53,18 @@ def write_message_files(raw: DataFrame, path: str, n_files: int = 8) -> str:
     return path
 
 
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A1 as a stream: JSON message files -> normalised events, as batch normalises them."""
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
+                   spread_to: int | None = None) -> DataFrame:
+    """A1 as a stream: JSON message files -> normalised events, as batch normalises them.
+
+    A micro-batch of one file is one split; with ``spread_to`` its lines are
+    dealt round-robin over that many tasks before the JSON is parsed (one
+    extra shuffle per batch; worth it for few, large files, not for a
+    many-partition topic). The store spreads each batch after parsing anyway.
+    """
     msgs = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(path)
+    if spread_to:
+        msgs = msgs.repartition(spread_to)
     schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField("ord", T.IntegerType()),
                                                      T.StructField("copy_no", T.IntegerType())])
     return normalise_events(parse_event_messages(msgs, schema=schema))
