@@ -29,6 +29,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpointed frames (lag_split) are removed once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     # streaming state (ST3 keys, ST7 per-transaction status) lives off-heap in RocksDB,
     # committed as change logs: state of millions of transactions per executor
     "spark.sql.streaming.stateStore.providerClass":
