@@ -1,8 +1,10 @@
 """The standard flow, stage by stage, over the derived payment log.
 
-raw deliveries -> normalised events (B1, B2, payload B3) -> validated (C3, C4)
--> first arrival per K3 (D1) -> routed (C2) -> folded entity tables (E1-E6)
-and the status history (A4). Each stage is a lazy DataFrame; nothing is
+raw deliveries -> normalised events (B1, B2, payload B3) -> first arrival
+per K3 (D1) -> routed (C2) -> folded entity tables (E1-E6) and the status
+history (A4). Validation (C3, C4: ``operators.validate.split_valid``) goes
+between normalising and folding wherever the input can be dirty; the derived
+log is clean by construction. Each stage is a lazy DataFrame; nothing is
 collected, so Catalyst prunes whatever a query does not read (the JSON
 payload is only built when a query selects it).
 """
@@ -21,6 +23,11 @@ from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
 from ledgerlake.operators.upsert import derive_merchants, derive_users, fold_events
 from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS, TABLES
 from ledgerlake.sources.payment_log import payment_events
+from ledgerlake.streaming.store import write_tables
+
+TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",
+               "payment_status_history"]
+
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payment_events(spark, sf_dir)
@@ -65,20 +72,11 @@ def materialise_tables(spark: SparkSession, evs: DataFrame, path: str,
     pruned differently, so no exchange could be shared) scans parquet
     instead of refolding the log every time.
     """
-    tables = entity_tables(evs, order)
-    tagged = [df.withColumn("_table", F.lit(name)) for name, df in tables.items()]
-    union = tagged[0]
-    for df in tagged[1:]:
-        union = union.unionByName(df, allowMissingColumns=True)
-    union.write.mode("overwrite").partitionBy("_table").parquet(path)
+    write_tables(entity_tables(evs, order), path)
     return {name: spark.read.parquet(f"{path}/_table={name}").select(*TABLES[name].column_names)
             for name in TABLE_ORDER}
 
 
-TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",
-               "payment_status_history"]
-
-
 def to_wallclock(df: DataFrame) -> DataFrame:
     """Present instants as UTC wall-clock ``timestamp_ntz`` (session zone is UTC)."""
     cols = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
