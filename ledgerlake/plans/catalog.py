@@ -18,6 +18,8 @@ from ledgerlake.plans.oracle import with_events
 from ledgerlake.plans.oracle_tables import all_tables_ctes, fold_cte
 from ledgerlake.plans.registry import register
 from ledgerlake.schemas import TABLES
+from ledgerlake.session import work_dir
+from ledgerlake.streaming import jobs
 
 SEQ = "ingestion_timestamp, ord, copy_no"
 
@@ -214,8 +216,14 @@ SELECT event_id AS log_event_id, transaction_id, idempotency_key, event_type, st
 FROM t_payment_status_history WHERE transaction_id = 'txn_7'
 ORDER BY ingestion_timestamp DESC, event_id DESC LIMIT 10""", dedup=True, extra=all_tables_ctes()))
 def c1_lookup_latest(spark, sf_dir):
-    """C1 + H1 + B4: the smoke check's lookup -- one transaction's newest 10 log rows."""
-    h = stages.status_history(_ev(spark, sf_dir))
+    """C1 + H1 + B4: the smoke check's lookup -- one transaction's newest 10 log rows.
+
+    The whole log is written in its lookup layout first; the lookup's filter
+    then reaches the parquet scan (PushedFilters) and skips row groups.
+    """
+    path = jobs.write_status_log(stages.status_history(_ev(spark, sf_dir)),
+                                 f"{work_dir(spark, 'c1')}/log")
+    h = spark.read.parquet(path)
     return reports.latest_rows(h, "txn_7", 10).select(
         F.col("event_id").alias("log_event_id"), "transaction_id", "idempotency_key",
         "event_type", "status", "ingestion_timestamp",

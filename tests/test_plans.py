@@ -59,3 +59,8 @@ def test_split_lag_equals_plain_window_with_a_hot_transaction(spark, sf_small):
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["transition", "n"] and df.count() > 0
+
+
+def test_lookup_filter_reaches_the_parquet_scan(spark, sf_small):
+    plan = _plan(entry.queries()["c1_lookup_latest"](spark, sf_small))
+    assert "EqualTo(transaction_id,txn_7)" in plan
