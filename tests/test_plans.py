@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 import __spark_entry__ as entry
 
@@ -64,3 +66,21 @@ def test_entry_runs(spark):
 def test_lookup_filter_reaches_the_parquet_scan(spark, sf_small):
     plan = _plan(entry.queries()["c1_lookup_latest"](spark, sf_small))
     assert "EqualTo(transaction_id,txn_7)" in plan
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(min_value=2, max_value=9), st.integers(min_value=1, max_value=400),
+       st.integers(min_value=0, max_value=1000))
+def test_lag_split_equals_window_for_any_partitioning(spark, parts, hot_rows, seed):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.reports import lag_split
+    base = spark.range(300).select((F.col("id") % 40).cast("string").alias("k"),
+                                   F.col("id").alias("t"), (F.col("id") % 3).cast("string").alias("v"))
+    hot = spark.range(hot_rows).select(F.lit("hot").alias("k"), (F.col("id") + seed).alias("t"),
+                                       (F.col("id") % 5).cast("string").alias("v"))
+    df = base.unionByName(hot)
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    split = lag_split(df, "k", ["t"], "v", "p", partitions=parts)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
