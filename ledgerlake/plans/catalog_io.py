@@ -388,3 +388,15 @@ def st7_stream_lifecycle(spark, sf_dir):
     root, stream = _stream_input(spark, sf_dir, "st7")
     jobs.start_lifecycle_stream(stream, f"{root}/out", f"{root}/ckpt").awaitTermination()
     return jobs.read_lifecycle(spark, f"{root}/out")
+
+
+@register("st2_stream_late_split", with_events(f"""
+SELECT CASE WHEN {_LAG} > 86400 THEN 'late' ELSE 'on_time' END AS output, event_type,
+       count(*) AS n FROM ev GROUP BY 1, 2"""))
+def st2_stream_late_split(spark, sf_dir):
+    """ST2 in a stream: late rows go to their own output before any stateful step, none lost."""
+    root, stream = _stream_input(spark, sf_dir, "st2")
+    jobs.start_late_split_stream(stream, f"{root}/out", f"{root}/ckpt", 86400).awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    return (rows.withColumnRenamed("_table", "output")
+            .groupBy("output", "event_type").agg(F.count(F.lit(1)).alias("n")))

@@ -22,7 +22,8 @@ from ledgerlake.operators.dedup import dedup_history, dedup_raw
 from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
 from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, PRODUCER_FIELDS, RAW_EVENT_SCHEMA
 from ledgerlake.sources.events import parse_event_messages
-from ledgerlake.streaming.store import FoldedStore, first_write_wins
+from ledgerlake.operators.lifecycle import split_late
+from ledgerlake.streaming.store import FoldedStore, first_write_wins, write_tables
 
 
 # --- inputs ------------------------------------------------------------------------
@@ -159,6 +160,24 @@ def read_lifecycle(spark: SparkSession, path: str) -> DataFrame:
         F.sum("_u.deliveries").alias("deliveries"))
 
 
+# --- ST2 in a stream: late rows to their own output ---------------------------------------
+def start_late_split_stream(events: DataFrame, path: str, checkpoint: str, limit_seconds: int,
+                            available_now: bool = True) -> StreamingQuery:
+    """ST2: split every micro-batch into on-time and late rows by event-time lag.
+
+    This runs before any stateful step, so late events reach their own
+    output (``_table=late``) instead of being dropped by a watermark. Both
+    outputs are written in one job per batch.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        on_time, late = split_late(batch, limit_seconds)
+        write_tables({"on_time": on_time, "late": late}, f"{path}/batch={batch_id}")
+
+    writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
 # --- A4 / A6: log sinks on plain tables --------------------------------------------------
 def append_status_history(batch: DataFrame, target: DataFrame, entity_mode: str = "entity",
                           order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
