@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, mixing
+from ledgerlake.llm import chat, decontaminate, language, mixing, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,27 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@_register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest-centroid language of every document; lang_pred is the nearest centroid's language.
+
+    Rejection is a column of its own (the pipeline drops by it).
+    """
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    rows = language.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return rows.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
+                       "lang_pred", "score", "rejected")
+
+
+@_register("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole document, and the longest prefix within 512 tokens."""
+    import public_tokenizers
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+
+
 _OP8_SQL = """
 WITH s AS (
   SELECT source, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS c FROM documents GROUP BY source),
@@ -92,3 +113,41 @@ FROM documents d JOIN n USING (doc_id), range(1, n.n + 1) AS g(x)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document by its Poisson count, in global random order; target shares by square root of characters."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM b, range(1, greatest(len(w) - 10, 0) + 2) AS g(i) WHERE len(w) > 0),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT n FROM bw), range(1, len(w) - n + 2) AS g(i)),
+hit AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hit, range(i, i + n) AS g(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@_register("op9_decontamination", _OP9_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of every benchmark item in every whole document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_register("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every whole document, of its edited text and of the next document's, and their likeness."""
+    return simhash.compare_with_next(_table(spark, sf_dir, "documents"))
