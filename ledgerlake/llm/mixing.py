@@ -39,11 +39,12 @@ def uniform(seed: str, *parts: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None,
-                 alpha: float = 0.5) -> DataFrame:
-    """(source, n_chars, rate): the mean repetition rate of each source's documents.
+                 alpha: float = 0.5) -> tuple[DataFrame, int]:
+    """(source, n_chars, rate) with the mean repetition rate of each source, and the number of sources.
 
     Without ``weights`` the target share is proportional to characters to the
-    power ``alpha`` (1 keeps the shares, 0 makes them equal).
+    power ``alpha`` (1 keeps the shares, 0 makes them equal). Three totals
+    come to the driver.
     """
     sizes = docs.groupBy("source").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("n_chars"))
     if weights is None:
@@ -55,12 +56,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None,
         wanted = F.coalesce(F.try_element_at(table, F.col("source")).cast("double"), F.lit(0.0))
         wanted = F.when(F.col("n_chars") > 0, wanted).otherwise(0.0)
     weighed = sizes.withColumn("w", wanted)
-    total = weighed.agg(F.sum("w").alias("_w"), F.sum("n_chars").alias("_c"))
-    rate = F.when(F.col("_w") > 0, F.col("w") / F.col("_w") * F.col("_c") / F.col("n_chars")).otherwise(0.0)
-    # one row of totals: the only thing joined without a key
-    return weighed.join(F.broadcast(total)).select(
-        "source", "n_chars",
-        (F.when(F.col("n_chars") > 0, rate).otherwise(1.0 if weights is None else 0.0)).alias("rate"))
+    total = weighed.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.sum("n_chars").alias("c")).first()
+    share = F.col("w") / F.lit(float(total["w"] or 1.0)) * F.lit(total["c"] or 0) / F.col("n_chars")
+    return weighed.select("source", "n_chars", F.when(F.col("n_chars") > 0, share).otherwise(
+        1.0 if weights is None else 0.0).alias("rate")), total["n"]
 
 
 def _inverse_table(rate: Column) -> Column:
@@ -85,10 +84,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     """
     docs = without(docs, "replica", "shuffle_key")
     source, pieces, cdf, n = (free_name(docs, x) for x in ("_source", "_pieces", "_cdf", "_n"))
-    rates = (source_rates(docs, weights, alpha)
+    by_source, n_sources = source_rates(docs, weights, alpha)
+    rates = (by_source
              .withColumn(pieces, F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int"))
              .select(F.col("source").alias(source), pieces, _inverse_table(F.col("rate") / F.col(pieces)).alias(cdf)))
-    few = docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    few = n_sources <= BROADCAST_SOURCES
     joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates[source]))
     draws = F.transform(F.sequence(F.lit(1), F.col(pieces)), lambda j: F.size(F.filter(
         cdf, lambda c: c <= uniform(seed, F.col("doc_id"), j))))
