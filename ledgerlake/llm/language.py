@@ -36,7 +36,7 @@ DIMS = 4096
 CENTROIDS = 4
 SAMPLE = 600
 ROUNDS = 8
-SLACK = 0.5
+SLACK = 0.25
 SHORT = 200
 PART_CHARS = 1 << 20
 RESULTS = ("lang_pred", "score", "rejected")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, decontaminate, language, mixing, simhash, token_counts
+from ledgerlake.llm import chat, decontaminate, language, mixing, pii, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -79,6 +79,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "lang_pred", "score", "rejected")
 
 
+@_register("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of personal data and those that the skip-chain field adds, in every whole document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.train(docs), keep=["doc_id"])
+
+
 @_register("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole document, and the longest prefix within 512 tokens."""
