@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, decontaminate, language, mixing, pii, simhash, token_counts
+from ledgerlake.llm import chat, decontaminate, jaccard, language, mixing, pii, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,27 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every whole document, of its edited text and of the next document's, and their likeness."""
     return simhash.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+_OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+       FROM w, range(1, greatest(len(w) - 3, 0) + 2) AS g(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(root, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.root, e.y FROM r JOIN e ON r.node = e.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.root) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
+@_register("op4_jaccard_join", _OP4_SQL)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of links of Jaccard 0.9 or more over three-word shingles of whole documents."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, threshold=90)
