@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, decontaminate, jaccard, language, mixing, pii, simhash, token_counts
+from ledgerlake.llm import chat, decontaminate, jaccard, language, mixing, pages, pii, simhash, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -182,3 +182,15 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of links of Jaccard 0.9 or more over three-word shingles of whole documents."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, threshold=90)
+
+
+@_register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte covered by a 50-byte string that also starts in an earlier document is removed."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@_register("op1_page_text")
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page: marked articles, else what nearest-URL differencing leaves."""
+    return pages.extract(_table(spark, sf_dir, "pages"))
