@@ -42,14 +42,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.kernels import Rolling, slices
+from ledgerlake.llm.kernels import Rolling, mix, slices
 
 GRAM = 12
 #: Text bytes of a block, and of what a hash range serves.
 BLOCK_BYTES = 16 << 20
 #: Documents of an anchor from which on its windows go one by one.
 HOT = 4096
-SORT_BYTES = 4 << 20
+SORT_BYTES = 2 << 20
 _PLACE = np.uint64(28)  # bits for a position; the other 36 order the hashes
 _PIECE = 1 << 27
 _NO_ID = -(1 << 63)
@@ -109,7 +109,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int
     last[:-1] &= (anchor[1:] != anchor[:-1]) | ~inside[1:]
     a, b = np.flatnonzero(first), np.flatnonzero(last)
     row = np.searchsorted(offsets, a, side="right") - 1
-    return a, b, row, roll.of(anchor[a], anchor[a] + GRAM), roll
+    # anchors have small hashes: mix again, so that their ranges fill evenly
+    return a, b, row, mix(roll.of(anchor[a], anchor[a] + GRAM) ^ np.uint64(0xA4093822299F31D0)), roll
 
 
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +219,7 @@ def _by_range(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
 def _documents(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, bytes, offsets) in slices of a block's rows."""
     for batch in table.combine_chunks().to_batches():
-        for rows, data, offsets in slices(batch, "text"):
+        for rows, data, offsets in slices(batch, "text", 1 << 20):
             yield rows.column(rows.schema.get_field_index("doc_id")).to_numpy(), data, offsets
 
 
