@@ -7,8 +7,8 @@ producer's raw event shape: flat fields, amounts as doubles, timestamps as
 ISO-8601 text with a UTC offset.
 
 Everything is narrow: one scan of ``orders`` (4 columns), two ``explode``
-generators and projections. No shuffle (except spreading an input that
-arrives as fewer splits than cores), no Python; the row count grows
+generators and projections. No shuffle (unless the caller asks for a number
+of partitions), no Python; the row count grows
 linearly with ``orders``.
 """
 
@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import RAW_EVENT_FIELDS
-from ledgerlake.session import spread
 
 # --- fixed values of the derivation (FIXTURES.md section 2) -------------------
 HASH_MULTIPLIER = 2654435761
@@ -56,15 +55,19 @@ def _secs(n) -> Column:
     return F.make_dt_interval(secs=F.lit(n) if isinstance(n, int) else n)
 
 
-def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payment_events(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Raw payment deliveries, one row per delivered message.
 
     Besides the producer's fields the frame carries ``order_key``, ``ord``
     (lifecycle step 1-5) and ``copy_no`` (0 original, 1 exact copy, 2 retry):
-    with ``ingestion_timestamp`` they give the arrival order.
+    with ``ingestion_timestamp`` they give the arrival order. With
+    ``partitions`` the orders are dealt over that many tasks first; a caller
+    asks for it where the table is one small file.
     """
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    if partitions:
+        orders = orders.repartition(partitions)
     k = F.col("o_orderkey")
     base = orders.select(
         k.alias("order_key"),

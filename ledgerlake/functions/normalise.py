@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.schemas import (
     ARRIVAL_ORDER, CURRENCY_MINOR_UNITS, DEFAULT_MINOR_UNITS, EMAIL_DOMAIN, EVENT_STATUS,
-    EVENT_STEP, ISO_TS_PATTERN, PRODUCER_FIELDS, RAW_EVENT_FIELDS, V0_EVENT_SCHEMA,
+    EVENT_STEP, ISO_REWRITES, ISO_TS_PATTERN, ISO_USUAL, ISO_WEEK, PRODUCER_FIELDS, RAW_EVENT_FIELDS, V0_EVENT_SCHEMA,
     V0_EVENT_TYPES, V1_EVENT_SCHEMA, V1_STATUS_EVENT_TYPES,
 )
 
@@ -33,10 +33,12 @@ def amount_minor(amount: Column, currency: Column) -> Column:
     """``int(round(amount * 10**scale))`` with round-half-even, as a BIGINT.
 
     ``rint`` rounds ties to even like Python's ``round``; ``F.round`` would
-    round 2.5 to 3. Arithmetic stays in double, as in the reference.
+    round 2.5 to 3. Arithmetic stays in double, as in the reference. An
+    infinite amount, or one beyond BIGINT, gives null (and a reject reason in
+    C4) instead of failing the job.
     """
     scaled = amount * F.pow(F.lit(10.0), minor_units(currency))
-    return F.when(amount.isNotNull() & ~F.isnan(amount), F.rint(scaled).cast("long"))
+    return F.when(amount.isNotNull() & ~F.isnan(amount), F.rint(scaled).try_cast("long"))
 
 
 def normalise_amounts(df: DataFrame, amount: str = "amount", currency: str = "currency",
@@ -48,14 +50,27 @@ def normalise_amounts(df: DataFrame, amount: str = "amount", currency: str = "cu
 def parse_iso_timestamp(text: Column) -> Column:
     """ISO-8601 text -> instant (TimestampType); null when unreadable.
 
-    A regex guard keeps Spark's lenient parser from accepting forms the
-    reference rejects (``2024``, ``2024-01``, padded text); every form the
-    guard lets through (``T`` or space, ``Z``, ``+02:00`` or ``+0200``,
-    fractions, date only) Spark's own parser reads. A missing offset is read
-    as UTC (the session zone).
+    A pattern keeps Spark's lenient parser from accepting forms that the
+    reference rejects (``2024``, ``2024-01``, padded text). Text in the usual
+    extended form goes to the parser as it is; basic dates and times, week
+    dates, hours alone and comma fractions are first written in that form. A
+    missing offset is read as UTC (the session zone).
     """
     s = text.cast("string")
-    return F.try_to_timestamp(F.when(s.rlike(ISO_TS_PATTERN), s))
+    fixed = s
+    for pattern, new in ISO_REWRITES:
+        fixed = F.regexp_replace(fixed, pattern, new)
+    week = F.regexp_extract(s, ISO_WEEK, 2).cast("int")
+    day = F.regexp_extract(s, ISO_WEEK, 3)
+    # the fourth of January lies in week one; a week that the year does not have is unreadable
+    monday = F.date_add(F.trunc(F.to_date(F.concat(F.substring(s, 1, 4), F.lit("-01-04"))), "week"), (week - 1) * 7)
+    by_week = F.concat(F.date_add(monday, F.when(day == "", 0).otherwise(day.cast("int") - 1)).cast("string"),
+                       F.regexp_replace(fixed, ISO_WEEK, ""))
+    return F.try_to_timestamp(
+        F.when(s.rlike(ISO_USUAL), s)
+        .when(~s.rlike(ISO_TS_PATTERN), F.lit(None))
+        .when(~s.contains("W"), fixed)
+        .when(F.weekofyear(monday) == week, by_week))
 
 
 def normalise_timestamps(df: DataFrame,

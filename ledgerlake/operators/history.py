@@ -6,6 +6,8 @@ store can build log rows from events.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,16 @@ HISTORY_INPUTS = ENTITY_IDS + ["status", "event_timestamp", "ingestion_timestamp
                                "source_system", "payload"]
 
 
-def history_rows(evs: DataFrame, entity_mode: str = "entity", with_id: bool = True) -> DataFrame:
+def history_rows(evs: DataFrame, entity_mode: str = "entity", with_id: bool = True,
+                 keep: Sequence[str] = ()) -> DataFrame:
     """One ``payment_status_history`` row per delivery (before A4's K3 check).
 
     ``entity``: keep only the id of the entity the event is about, so the
     one-entity CHECK holds; ``literal``: keep every id, as the producer sends
     them (the CHECK then fails for captures and later events). The log id is a
-    UUID-formatted hash of the K3, so redoing a batch yields the same ids.
+    UUID-formatted hash of the K3, so redoing a batch yields the same ids. It
+    takes the place of the producer's ``event_id``; ``keep`` names further
+    columns to carry along.
     """
     if entity_mode == "entity":
         et = F.col("event_type")
@@ -45,5 +50,5 @@ def history_rows(evs: DataFrame, entity_mode: str = "entity", with_id: bool = Tr
     else:
         raise ValueError(f"unknown entity_mode {entity_mode!r}")
     cols = {"event_id": stable_uuid(*K3) if with_id else F.lit(None).cast("string"), **ids}
-    extra = [c for c in ARRIVAL_ORDER if c not in HISTORY_COLUMNS and c in evs.columns]
+    extra = [c for c in ARRIVAL_ORDER if c not in HISTORY_COLUMNS and c in evs.columns] + list(keep)
     return evs.withColumns(cols).select(*HISTORY_COLUMNS, *extra)

@@ -116,7 +116,9 @@ def candidates(events: DataFrame, table: str, order: Sequence[str] = ARRIVAL_ORD
         cols = {"merchant_id": F.col("merchant_id"), "merchant_name": F.col("merchant_id"),
                 "country": F.lit(None).cast("string"), "created_at": touch, "updated_at": touch}
     elif table == "payment_status_history":
-        src = history_rows(events, "entity", with_id=False)
+        # the log id replaces the producer's event id, which is part of the order: take the order first
+        src = history_rows(events.withColumn("_seq", seq), "entity", with_id=False, keep=["_seq"])
+        seq = F.col("_seq")
         cols = {n: F.col(n) for n in schema.fieldNames()}
         cols["event_id"] = F.lit(None).cast("string")
     else:

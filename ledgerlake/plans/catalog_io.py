@@ -11,19 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.normalise import default_if_absent, normalise_events, unify_v0, unify_v1
+from ledgerlake.functions.normalise import (
+    default_if_absent, normalise_events, parse_iso_timestamp, payload_field, unify_event_versions, unify_v0, unify_v1,
+)
+from ledgerlake.fixtures import messages as made
 from ledgerlake.operators import dedup, lifecycle, reports, upsert, validate
 from ledgerlake.plans import stages
 from ledgerlake.plans.oracle import with_events
-from ledgerlake.plans.oracle_tables import all_tables_ctes
+from ledgerlake.plans.oracle_tables import all_tables_ctes, fold_cte
 from ledgerlake.plans.registry import register
 from ledgerlake.schemas import TABLES, UUID_PATTERN
 from ledgerlake.session import work_dir
 from ledgerlake.sources import events as src
 from ledgerlake.streaming import jobs
-from ledgerlake.streaming.store import FoldedStore
+from ledgerlake.streaming.store import FoldedStore, unprocessed
 
-SEQ = "ingestion_timestamp, ord, copy_no"
+SEQ = "ingestion_timestamp, ord, copy_no, event_id"
 # Split point of the derived log for the two-batch queries (A4, JN6, ST6, U1).
 CUTOFF = "1998-06-01 00:00:00"
 REPLAY_FROM = "1998-05-01 00:00:00"
@@ -48,7 +51,7 @@ def _from(df: DataFrame, ts: str = CUTOFF) -> DataFrame:
 def a1_json_events(spark, sf_dir):
     """A1 + B6: producer messages parsed back with the explicit schema; ``is_partial``
     is absent from every message, so it takes its default."""
-    msgs = src.to_messages(stages.raw_events(spark, sf_dir))
+    msgs = made.to_messages(stages.raw_events(spark, sf_dir))
     evs = normalise_events(src.parse_event_messages(msgs))
     return evs.select("event_id", "copy_no", "event_type", "amount_minor", "ingestion_timestamp",
                       default_if_absent(F.col("is_partial"), "is_partial",
@@ -56,6 +59,56 @@ def a1_json_events(spark, sf_dir):
                       .alias("is_partial"))
 
 
+@register("a1_read_files", with_events("""
+SELECT event_id, retry_attempt, event_type, amount_minor, ingestion_timestamp,
+       CASE WHEN event_type <> 'refund_recorded' THEN false
+            WHEN order_key % 3 = 0 THEN true WHEN order_key % 3 = 1 THEN NULL ELSE false END AS is_partial,
+       event_id AS payload_event_id FROM ev"""))
+def a1_read_files(spark, sf_dir):
+    """A1 + B3 + B4 + B6: JSON files through ``read_events``. Refund messages say true, an
+    explicit null (it stays null) or nothing (the default)."""
+    raw = stages.raw_events(spark, sf_dir)
+    text = made.to_messages(raw)
+    refund = F.get_json_object("value", "$.event_type") == "refund_recorded"
+    said = (F.when(refund & (F.col("order_key") % 3 == 0), ',"is_partial":true}')
+            .when(refund & (F.col("order_key") % 3 == 1), ',"is_partial":null}').otherwise("}"))
+    path = f"{work_dir(spark, 'a1')}/events"
+    text.select(F.concat(F.expr("substring(value, 1, length(value) - 1)"), said).alias("value")).write.text(path)
+    evs = normalise_events(src.read_events(spark, path))
+    return evs.select("event_id", "retry_attempt", "event_type", "amount_minor", "ingestion_timestamp",
+                      default_if_absent(F.col("is_partial"), "is_partial",
+                                        src.present_keys(F.col("payload")), False).alias("is_partial"),
+                      payload_field(F.col("payload"), "event_id").alias("payload_event_id"))
+
+
+_ISO_FORMS = ["yyyyMMdd'T'HHmmss", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss',5'", "yyyyMMdd", "yyyy-MM-dd HH:mm",
+              "yyyy-MM-dd'T'HHmm'+0200'", "yyyy-MM-dd'T'HH:mm:ss'+02'", "yyyy", "yyyy-MM", "' 'yyyy-MM-dd"]
+
+
+@register("b2_iso_forms", with_events("""
+SELECT event_id, copy_no, CASE order_key % 12
+  WHEN 0 THEN ingestion_timestamp WHEN 1 THEN date_trunc('hour', ingestion_timestamp)
+  WHEN 2 THEN ingestion_timestamp + INTERVAL 500 MILLISECOND WHEN 3 THEN date_trunc('day', ingestion_timestamp)
+  WHEN 4 THEN date_trunc('minute', ingestion_timestamp)
+  WHEN 5 THEN date_trunc('minute', ingestion_timestamp) - INTERVAL 2 HOUR
+  WHEN 6 THEN ingestion_timestamp - INTERVAL 2 HOUR
+  WHEN 10 THEN date_trunc('day', ingestion_timestamp) WHEN 11 THEN date_trunc('week', ingestion_timestamp)
+  END AS parsed FROM ev"""))
+def b2_iso_forms(spark, sf_dir):
+    """B2: basic, hour-only, comma, offset and week forms parse; a year, a month and padded text do not."""
+    evs = _ev(spark, sf_dir).select("event_id", "copy_no", "order_key", "ingestion_timestamp")
+    ts, k = F.col("ingestion_timestamp"), F.col("order_key") % 12
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(_ISO_FORMS):
+        text = F.when(k == i, F.date_format(ts, form)).otherwise(text)
+    week = F.concat(F.extract(F.lit("YEAROFWEEK"), ts).cast("string"), F.lit("-W"),
+                    F.lpad(F.weekofyear(ts).cast("string"), 2, "0"))
+    day = (F.weekday(ts) + 1).cast("string")
+    text = F.when(k == 10, F.concat(week, F.lit("-"), day)).when(
+        k == 11, F.replace(week, F.lit("-"), F.lit(""))).otherwise(text)
+    return evs.select("event_id", "copy_no", parse_iso_timestamp(text).alias("parsed"))
+
+
 # --- A2 / ST5 / C11 / ST6: change feed ------------------------------------------------------
 _CHANGE_COLS = "event_id, transaction_id, event_type, status, event_timestamp, ingestion_timestamp"
 
@@ -64,11 +117,11 @@ def _change_messages(spark, sf_dir) -> DataFrame:
     """Log rows as change messages, plus a tombstone per chargeback row and the raw
     event topic sharing the stream (both must be filtered out)."""
     history = stages.status_history(_ev(spark, sf_dir))
-    changes = src.to_change_messages(history)
+    changes = made.to_change_messages(history)
     tombstones = (history.where(F.col("event_type") == "chargeback_received")
                   .select(F.lit(src.CHANGE_TOPIC).alias("topic"),
                           F.lit(None).cast("string").alias("value")))
-    other = src.to_messages(stages.raw_events(spark, sf_dir)).select(
+    other = made.to_messages(stages.raw_events(spark, sf_dir)).select(
         F.lit(src.EVENTS_TOPIC).alias("topic"), "value")
     return changes.unionByName(tombstones).unionByName(other)
 
@@ -84,11 +137,15 @@ def a2_change_feed(spark, sf_dir):
 @register("st6_snapshot_then_changes", with_events(
     f"SELECT {_CHANGE_COLS} FROM t_payment_status_history", dedup=True, extra=all_tables_ctes()))
 def st6_snapshot_then_changes(spark, sf_dir):
-    """ST6: snapshot of the log before the cut plus the change stream from a month
+    """ST6: snapshot of the log before the cut plus the change feed as a stream from a month
     earlier (replays); the union keeps each log row once."""
-    rows = src.read_change_feed(_change_messages(spark, sf_dir))
-    snapshot = _before(rows)
-    changes = _from(rows, REPLAY_FROM)
+    history = stages.status_history(_ev(spark, sf_dir))
+    root = work_dir(spark, "st6")
+    made.to_change_messages(_from(history, REPLAY_FROM)).select("value").write.text(f"{root}/in")
+    messages = spark.readStream.option("maxFilesPerTrigger", "4").text(f"{root}/in")
+    jobs.start_change_stream(messages, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    changes = spark.read.parquet(f"{root}/out").drop("batch")
+    snapshot = _before(history).select(*changes.columns)
     return src.snapshot_then_changes(snapshot, changes).select(*_CHANGE_COLS.split(", "))
 
 
@@ -106,21 +163,31 @@ def a3_table_scan(spark, sf_dir):
 
 
 # --- A4 / A6 / JN6 / U1: batch sinks ----------------------------------------------------------
-@register("a4_append_history", with_events(
-    "SELECT event_id AS log_event_id, transaction_id, event_type, status FROM ("
-    "SELECT * FROM t_payment_status_history WHERE NOT EXISTS (SELECT 1 FROM ev e "
-    f"WHERE e.ingestion_timestamp < TIMESTAMP '{CUTOFF}' "
-    "AND e.transaction_id = t_payment_status_history.transaction_id "
-    "AND e.idempotency_key = t_payment_status_history.idempotency_key "
-    "AND e.event_type = t_payment_status_history.event_type))",
-    dedup=True, extra=all_tables_ctes()))
+@register("a4_append_history", with_events(f"""
+SELECT event_id AS log_event_id, transaction_id, event_type, status, ingestion_timestamp,
+       CASE WHEN ingestion_timestamp < TIMESTAMP '{CUTOFF}' THEN 0 ELSE 1 END AS batch
+FROM t_payment_status_history""", dedup=True, extra=all_tables_ctes()))
 def a4_append_history(spark, sf_dir):
-    """A4: the second batch appends only log rows whose K3 the first batch did not write."""
-    evs = _ev(spark, sf_dir)
-    target = stages.status_history(_before(evs))
-    new_rows = jobs.append_status_history(_from(evs), target)
-    return new_rows.select(F.col("event_id").alias("log_event_id"), "transaction_id",
-                           "event_type", "status")
+    """A4: two batches appended to a log and read back whole; the second one (which holds the
+    first one's deliveries again) changes no row that was there."""
+    evs = stages.materialise_events(_ev(spark, sf_dir).drop("order_key"), f"{work_dir(spark, 'a4')}/events")
+    path = f"{work_dir(spark, 'a4')}/log"
+    jobs.append_status_history(_before(evs), path, 0)
+    again = _before(evs).withColumn("status", F.lit("changed"))
+    jobs.append_status_history(_from(evs).unionByName(again), path, 1)
+    return spark.read.parquet(path).select(
+        F.col("event_id").alias("log_event_id"), "transaction_id", "event_type", "status",
+        "ingestion_timestamp", F.col("batch").cast("int").alias("batch"))
+
+
+@register("a6_unprocessed", with_events("""
+SELECT transaction_id, event_type, processed FROM t_raw_payment_events
+WHERE NOT (event_id LIKE '%0' OR event_id LIKE '%7')""", dedup=True, extra=all_tables_ctes()))
+def a6_unprocessed(spark, sf_dir):
+    """Landed rows that are not yet marked as processed (the marks are a set of ids)."""
+    raw = jobs.land_raw(_ev(spark, sf_dir))
+    done = raw.where(F.col("event_id").endswith("0") | F.col("event_id").endswith("7"))
+    return unprocessed(raw, done.select("event_id")).select("transaction_id", "event_type", "processed")
 
 
 @register("a6_land_raw", with_events("""
@@ -157,12 +224,14 @@ def u1_bag_union(spark, sf_dir):
 
 # --- B10 / D6 / JN3 / C3-C4: older shapes ------------------------------------------------------
 @register("b10_unify_v1", with_events("""
-SELECT event_id, copy_no, event_type, status, user_id, event_timestamp AS ingestion_timestamp
+SELECT event_id, copy_no, event_type, status, user_id,
+       CASE WHEN ord > 2 THEN event_timestamp END AS ingestion_timestamp
 FROM ev"""))
 def b10_unify_v1(spark, sf_dir):
-    """v1 messages (no event type, int user ids, one timestamp) in the current shape."""
+    """v1 messages (no event type, int user ids, one timestamp, none on a transaction's
+    first two events) in the current shape."""
     raw = stages.raw_events(spark, sf_dir)
-    v1 = src.to_v1_messages(raw)
+    v1 = made.to_v1_messages(raw).withColumn("timestamp", F.when(F.col("ord") > 2, F.col("timestamp")))
     evs = normalise_events(unify_v1(v1))
     return evs.select("event_id", "copy_no", "event_type", "status", "user_id",
                       "ingestion_timestamp")
@@ -174,7 +243,36 @@ _V0_TYPE = ("CASE event_type WHEN 'payment_intent_authorized' THEN 'AUTHORIZATIO
 
 
 def _v0(spark, sf_dir) -> DataFrame:
-    return src.to_v0_messages(stages.raw_events(spark, sf_dir))
+    return made.to_v0_messages(stages.raw_events(spark, sf_dir))
+
+
+_V0_LATE = "event_type IN ('refund_recorded', 'chargeback_received')"
+_V0_COLS = "event_id, copy_no, event_type, status, merchant_id, user_id, amount_minor, ingestion_timestamp"
+
+
+def _v0_sql(where: str = "") -> str:
+    full = ", ".join(f"CASE WHEN NOT {_V0_LATE} THEN {c} END AS {c}" for c in ("merchant_id", "user_id", "amount_minor"))
+    return (f"SELECT event_id, copy_no, event_type, status, {full}, ingestion_timestamp FROM ev "
+            f"WHERE {_V0_TYPE} IS NOT NULL {where}")
+
+
+@register("b10_unify_v0", with_events(_v0_sql()))
+def b10_unify_v0(spark, sf_dir):
+    """v0 messages in the current shape; sparse late rows keep nulls."""
+    return normalise_events(unify_v0(_v0(spark, sf_dir))).select(*_V0_COLS.split(", "))
+
+
+@register("b10_unify_versions", with_events(
+    f"{_v0_sql('AND order_key % 3 = 0')} UNION ALL "
+    "SELECT event_id, copy_no, event_type, status, merchant_id, user_id, amount_minor, event_timestamp FROM ev "
+    "WHERE order_key % 3 = 1 UNION ALL "
+    f"SELECT {_V0_COLS} FROM ev WHERE order_key % 3 = 2"))
+def b10_unify_versions(spark, sf_dir):
+    """A feed of all three message shapes, each transaction in one of them."""
+    raw = stages.raw_events(spark, sf_dir)
+    third = lambda i: raw.where(F.col("order_key") % 3 == i)
+    mixed = unify_event_versions(third(2), made.to_v0_messages(third(0)), made.to_v1_messages(third(1)))
+    return normalise_events(mixed).select(*_V0_COLS.split(", "))
 
 
 @register("d6_v0_exact_copies", with_events(
@@ -196,6 +294,67 @@ def c4_reject_reasons(spark, sf_dir):
     return rejects.groupBy("event_type", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+_DIRTY = [  # (order_key % 97, column, Spark value, SQL value, reason)
+    (1, "transaction_id", None, "NULL", "missing_transaction_id"),
+    (2, "idempotency_key", None, "NULL", "missing_idempotency_key"),
+    (3, "event_type", None, "NULL", "missing_event_type"),
+    (4, "status", None, "NULL", "missing_status"),
+    (5, "amount", None, "NULL", "missing_amount"),
+    (6, "amount", float("nan"), "'nan'::DOUBLE", "nan_amount"),
+    (7, "amount", float("inf"), "'inf'::DOUBLE", "infinite_amount"),
+    (8, "amount", 1e20, "1e20", "amount_out_of_range"),
+    (9, "currency", None, "NULL", "missing_currency"),
+    (10, "event_type", "mystery_event", "'mystery_event'", "unknown_event_type"),
+]
+
+
+def _dirty_raw(spark, sf_dir) -> DataFrame:
+    """The raw log with one broken field in some transactions' rows."""
+    raw = stages.raw_events(spark, sf_dir)
+    kinds = dict(raw.dtypes)
+    for column in dict.fromkeys(d[1] for d in _DIRTY):
+        value = F.col(column)
+        for k, c, v, _, _ in _DIRTY:
+            if c == column:
+                value = F.when(F.col("order_key") % 97 == k, F.lit(v).cast(kinds[column])).otherwise(value)
+        raw = raw.withColumn(column, value)
+    return raw
+
+
+_REASON_SQL = "CASE order_key % 97 " + " ".join(f"WHEN {k} THEN '{r}'" for k, _, _, _, r in _DIRTY) + " END"
+
+
+@register("c3_c4_dirty_rows", with_events(f"""
+SELECT {_REASON_SQL} AS reject_reason, count(*) AS n,
+       CAST(sum(amount_minor) FILTER ({_REASON_SQL} IS NULL) AS BIGINT) AS valid_minor FROM ev GROUP BY 1"""))
+def c3_c4_dirty_rows(spark, sf_dir):
+    """C3 + C4 + B1: every reject reason; no bad amount fails the job, no row is lost."""
+    evs = normalise_events(_dirty_raw(spark, sf_dir))
+    valid, rejects = validate.split_valid(evs, mode="quarantine")
+    both = valid.select(F.lit(None).cast("string").alias("reject_reason"), "amount_minor").unionByName(
+        rejects.select("reject_reason", F.lit(None).cast("long").alias("amount_minor")))
+    return both.groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_minor").alias("valid_minor"))
+
+
+@register("d3_null_keys", with_events("""
+SELECT event_id, copy_no, order_key, ord, CASE
+  WHEN row_number() OVER (PARTITION BY transaction_id, idempotency_key, event_type, event_id
+                          ORDER BY ingestion_timestamp, ord, copy_no, order_key) > 1 THEN 'exact_duplicate'
+  WHEN retry_attempt > first(retry_attempt) OVER (PARTITION BY transaction_id, idempotency_key, event_type
+                          ORDER BY ingestion_timestamp, ord, copy_no, event_id NULLS FIRST, order_key) THEN 'retry'
+  ELSE 'original' END AS delivery_class FROM ev""",
+    changes="CASE WHEN order_key % 97 = 2 THEN NULL ELSE idempotency_key END AS idempotency_key, "
+            "CASE WHEN order_key % 97 = 3 THEN NULL ELSE event_id END AS event_id"))
+def d3_null_keys(spark, sf_dir):
+    """D3 with null idempotency keys and null event ids: every delivery is classified."""
+    evs = _ev(spark, sf_dir)
+    k = F.col("order_key") % 97
+    evs = evs.withColumn("idempotency_key", F.when(k != 2, F.col("idempotency_key"))) \
+        .withColumn("event_id", F.when(k != 3, F.col("event_id")))
+    return dedup.classify_deliveries(evs).select("event_id", "copy_no", "order_key", "ord", "delivery_class")
+
+
 @register("jn3_fill_sparse_late", with_events(f"""
 SELECT l.event_id, l.copy_no, a.merchant_id, a.amount, a.currency, a.user_id
 FROM ev l LEFT JOIN (
@@ -206,7 +365,7 @@ WHERE l.event_type IN ('refund_recorded', 'chargeback_received')"""))
 def jn3_fill_sparse_late(spark, sf_dir):
     """JN3: v0 late events get merchant, amount, currency and user from the authorisation."""
     raw = stages.raw_events(spark, sf_dir)
-    v0 = src.to_v0_messages(raw).where(F.col("metadata_note") == "LATE_ARRIVING_DATA")
+    v0 = made.to_v0_messages(raw).where(F.col("metadata_note") == "LATE_ARRIVING_DATA")
     late = normalise_events(unify_v0(v0))
     filled = lifecycle.fill_sparse_late(late, _ev(spark, sf_dir))
     return filled.select("event_id", "copy_no", "merchant_id", "amount", "currency", "user_id")
@@ -256,7 +415,7 @@ LEFT JOIN (SELECT charge_id, count(*) AS chargebacks, CAST(sum(amount_minor) AS
                                            dedup=True, extra=all_tables_ctes()))
 def jn4_payment_chain(spark, sf_dir):
     """JN4: intent -> charge -> refunds / chargebacks, children rolled up before joining."""
-    evs = _ev(spark, sf_dir)
+    evs = stages.materialise_events(_ev(spark, sf_dir), f"{work_dir(spark, 'jn4')}/events")
     tables = {t: upsert.fold_events(evs, t) for t in upsert.ENTITY_TABLES}
     return lifecycle.payment_chain(tables)
 
@@ -275,13 +434,13 @@ def jn5_lost_refund_ids(spark, sf_dir):
 
 
 # --- C12: constraint report ------------------------------------------------------------------
-def _report_sql() -> str:
+def _report_sql(prefix: str = "t_") -> str:
     parts = []
     order = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",
-             "payment_status_history"]
+             "payment_status_history", "raw_payment_events"]
     for name in order:
         t = TABLES[name]
-        v = f"t_{name}"
+        v = f"{prefix}{name}"
         for c in t.columns:
             if c.not_null or c.name in t.key:
                 parts.append(f"SELECT '{name}', 'not_null', '{c.name}', "
@@ -307,7 +466,7 @@ def _report_sql() -> str:
         for col, ptable, pcol in t.references:
             parts.append(f"SELECT '{name}', 'reference', '{col}->{ptable}.{pcol}', count(*) "
                          f"FROM {v} x WHERE {col} IS NOT NULL AND NOT EXISTS "
-                         f"(SELECT 1 FROM t_{ptable} p WHERE p.{pcol} = x.{col})")
+                         f"(SELECT 1 FROM {prefix}{ptable} p WHERE p.{pcol} = x.{col})")
     body = "\nUNION ALL\n".join(parts)
     return ("SELECT col0 AS table_name, col1 AS rule, col2 AS columns, "
             "CAST(col3 AS BIGINT) AS violations FROM (" + body.replace(
@@ -321,6 +480,75 @@ def c12_constraint_report(spark, sf_dir):
     return validate.constraint_report(tables)
 
 
+# (table, column, column whose md5 decides, md5 prefix, bad value): every kind of rule is broken
+_BROKEN = [
+    ("users", "email", "user_id", "1", "same@example.com"),
+    ("users", "email", "user_id", "2", None),
+    ("merchants", "merchant_name", "merchant_id", "1", "m" * 60),
+    ("payment_intents", "intent_id", "intent_id", "3a", "intent_dup"),
+    ("payment_intents", "currency", "intent_id", "1a", "DOLLARS"),
+    ("payment_intents", "status", "intent_id", "2a", None),
+    ("payment_intents", "user_id", "intent_id", "4a", "user_none"),
+    ("charges", "intent_id", "charge_id", "1a", "intent_none"),
+    ("charges", "amount_minor", "charge_id", "2a", None),
+    ("refunds", "charge_id", "refund_id", "1", "charge_none"),
+    ("refunds", "refund_reason", "refund_id", "2", "r" * 120),
+    ("chargebacks", "chargeback_id", "chargeback_id", "1", "chargeback_dup"),
+    ("payment_status_history", "refund_id", "event_id", "1a", "refund_none"),
+    ("payment_status_history", "payload", "event_id", "2a", "not json"),
+    ("payment_status_history", "event_id", "event_id", "3a", "not-a-uuid"),
+    ("raw_payment_events", "payload", "event_id", "1a", "{"),
+    ("raw_payment_events", "idempotency_key", "event_id", "2a", None),
+    ("raw_payment_events", "event_id", "event_id", "3a", "not-a-uuid"),
+]
+
+
+def _broken_sql() -> str:
+    parts = [all_tables_ctes()]
+    for t in dict.fromkeys(b[0] for b in _BROKEN):
+        cases: dict[str, str] = {}
+        for _, column, by, prefix, bad in [b for b in _BROKEN if b[0] == t]:
+            value = "NULL" if bad is None else f"'{bad}'"
+            cases[column] = cases.get(column, "") + f" WHEN md5({by}) LIKE '{prefix}%' THEN {value}"
+        replaced = ", ".join(f"CASE{c} ELSE {column} END AS {column}" for column, c in cases.items())
+        parts.append(f"x_{t} AS (SELECT * REPLACE ({replaced}) FROM t_{t})")
+    return ",\n".join(parts)
+
+
+def _broken(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    out = {}
+    for name, df in tables.items():
+        new = {}
+        for t, column, by, prefix, bad in reversed(_BROKEN):
+            if t == name:
+                kind = dict(df.dtypes)[column]
+                new[column] = F.when(F.md5(F.col(by)).startswith(prefix), F.lit(bad).cast(kind)).otherwise(
+                    new.get(column, F.col(column)))
+        out[name] = df.withColumns(new) if new else df
+    return out
+
+
+@register("c12_broken_tables", with_events(_report_sql("x_"), dedup=True, extra=_broken_sql()))
+def c12_broken_tables(spark, sf_dir):
+    """C5-C10 + C12 on tables in which every kind of rule is broken."""
+    tables = stages.materialise_tables(spark, _ev(spark, sf_dir), work_dir(spark, "c12x"))
+    return validate.constraint_report(_broken(tables))
+
+
+@register("c1_events_of_a_month", with_events("""
+SELECT event_type, count(*) AS n, min(event_timestamp) AS first_event FROM t_payment_status_history
+WHERE event_timestamp >= TIMESTAMP '1996-03-01' AND event_timestamp < TIMESTAMP '1996-04-01'
+GROUP BY event_type""", dedup=True, extra=all_tables_ctes()))
+def c1_events_of_a_month(spark, sf_dir):
+    """A read by event time from the log's event-time layout (one folder is opened)."""
+    path = jobs.write_status_log(stages.status_history(_ev(spark, sf_dir)),
+                                 f"{work_dir(spark, 'c1t')}/log", by="event_time")
+    rows = spark.read.parquet(path).where(
+        (F.col("event_month") == "1996-03") & (F.col("event_timestamp") >= F.lit("1996-03-01").cast("timestamp"))
+        & (F.col("event_timestamp") < F.lit("1996-04-01").cast("timestamp")))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_timestamp").alias("first_event"))
+
+
 # --- ST1 / ST2: lateness ------------------------------------------------------------------------
 _LAG = "date_diff('second', event_timestamp, ingestion_timestamp)"
 
@@ -348,43 +576,87 @@ def st2_late_split(spark, sf_dir):
     return tagged.groupBy("output", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-# --- ST3 / ST4 / ST7 / A7: streams over message files -----------------------------------------------
-def _stream_input(spark, sf_dir, name: str, n_files: int = 4):
-    root = work_dir(spark, name)
-    jobs.write_message_files(stages.raw_events(spark, sf_dir), f"{root}/in", n_files)
-    return root, jobs.message_stream(spark, f"{root}/in", max_files_per_trigger=1)
+# --- ST2 / ST3 / ST4 / ST7: streams over message files -----------------------------------------------
+# Which micro-batch a delivery comes with: by year, but a sixteenth of all deliveries come days
+# or years late with the last batch, and some have no readable ingestion time.
+_NO_TIME = "CASE WHEN md5(event_id || copy_no) LIKE '0a%' THEN NULL ELSE ingestion_timestamp END AS ingestion_timestamp"
+_CHUNK = ("CASE WHEN md5(event_id || copy_no) LIKE 'a%' THEN 3 WHEN ingestion_timestamp IS NULL THEN 0 "
+          "WHEN year(ingestion_timestamp) < 1997 THEN 0 WHEN year(ingestion_timestamp) < 1999 THEN 1 ELSE 2 END")
+_SEQ0 = "ingestion_timestamp NULLS FIRST, ord, copy_no, event_id"
 
 
-@register("st3_stream_dedup", with_events(
-    "SELECT DISTINCT transaction_id, idempotency_key, event_type, status FROM ev"))
+def _stream_input(spark, sf_dir, name: str):
+    root = work_dir(spark, name)
+    digest = F.md5(F.concat("event_id", F.col("copy_no").cast("string")))
+    raw = stages.raw_events(spark, sf_dir).withColumn(
+        "ingestion_timestamp", F.when(~digest.startswith("0a"), F.col("ingestion_timestamp")))
+    year = F.substring("ingestion_timestamp", 1, 4).cast("int")
+    chunk = (F.when(digest.startswith("a"), 3).when(year.isNull(), 0).when(year < 1997, 0)
+             .when(year < 1999, 1).otherwise(2))
+    made.write_message_files(raw, f"{root}/in", chunk, 4)
+    return root, jobs.message_stream(spark, f"{root}/in")
+
+
+@register("st3_stream_dedup", with_events(f"""
+SELECT transaction_id, idempotency_key, event_type, status, chunk FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id, idempotency_key, event_type
+                               ORDER BY chunk, {_SEQ0}) AS rn FROM (SELECT *, {_CHUNK} AS chunk FROM ev))
+WHERE rn = 1""", changes=_NO_TIME))
 def st3_stream_dedup(spark, sf_dir):
-    """ST3: streaming first-per-K3 with an ingestion-time watermark; written to parquet."""
+    """ST3: first delivery per K3 over all batches; late and undated deliveries count."""
     root, stream = _stream_input(spark, sf_dir, "st3")
-    out = jobs.stream_dedup(stream).select("transaction_id", "idempotency_key", "event_type",
-                                           "status")
-    q = (out.writeStream.format("parquet").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    jobs.start_dedup_stream(stream, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(
+        "transaction_id", "idempotency_key", "event_type", "status", F.col("batch").cast("int").alias("chunk"))
+
+
+def _batched(sql: str) -> str:
+    """The fold's arrival order with the batch in front; null is the earliest time."""
+    return (sql.replace("ORDER BY ingestion_timestamp, ord", "ORDER BY chunk, ingestion_timestamp NULLS FIRST, ord")
+            .replace("ORDER BY ingestion_timestamp DESC", "ORDER BY chunk DESC, ingestion_timestamp DESC"))
 
 
 @register("st4_stream_upsert", with_events(
     "SELECT " + ", ".join(TABLES["payment_intents"].column_names) + " FROM t_payment_intents",
-    dedup=True, extra=all_tables_ctes()))
+    extra=_batched(fold_cte("payment_intents").strip("\n").replace("FROM ev WHERE", f"FROM (SELECT *, {_CHUNK} AS chunk FROM ev) WHERE")),
+    changes=_NO_TIME))
 def st4_stream_upsert(spark, sf_dir):
-    """ST4 + A5 + A7: micro-batches folded into all tables, committed per batch; the
-    intents read back equal the batch fold (E3)."""
+    """ST4 + A5: micro-batches folded into all tables. A row of an earlier batch comes before
+    every row of a later one, so a late older delivery updates the status and nothing else."""
     root, stream = _stream_input(spark, sf_dir, "st4")
     store = FoldedStore(spark, f"{root}/store")
     jobs.start_upsert_stream(stream, store, f"{root}/ckpt").awaitTermination()
     return store.read("payment_intents")
 
 
+@register("a5_older_second_batch", with_events(
+    "SELECT intent_id, status, amount_minor FROM t_payment_intents",
+    extra=fold_cte("payment_intents").strip("\n").replace(
+        "FROM ev WHERE", f"FROM (SELECT *, CASE WHEN ingestion_timestamp >= TIMESTAMP '{CUTOFF}' THEN 0 ELSE 1 END AS chunk "
+        "FROM ev) WHERE").replace("ORDER BY ingestion_timestamp,", "ORDER BY chunk, ingestion_timestamp,").replace(
+        "ORDER BY ingestion_timestamp DESC", "ORDER BY chunk DESC, ingestion_timestamp DESC"),
+    changes="CASE WHEN ord = 2 THEN ingestion_timestamp - INTERVAL 20 YEAR ELSE ingestion_timestamp END AS ingestion_timestamp, "
+            "CASE WHEN ord = 2 THEN amount_minor + 1 ELSE amount_minor END AS amount_minor"))
+def a5_older_second_batch(spark, sf_dir):
+    """A5: a second batch with older ingestion times: existing rows keep their first columns,
+    the second batch's last status wins."""
+    old = F.col("ord") == 2
+    evs = _ev(spark, sf_dir)
+    evs = evs.withColumn("ingestion_timestamp", F.when(old, F.col("ingestion_timestamp") - F.make_ym_interval(F.lit(20)))
+                         .otherwise(F.col("ingestion_timestamp"))) \
+        .withColumn("amount_minor", F.col("amount_minor") + old.cast("int"))
+    store = FoldedStore(spark, f"{work_dir(spark, 'a5')}/store", ["payment_intents"])
+    store.apply_events(_before(evs), 1)
+    store.apply_events(_from(evs), 0)
+    store.apply_events(_before(evs), 1)   # a redo changes nothing
+    return store.read("payment_intents").select("intent_id", "status", "amount_minor")
+
+
 @register("st7_stream_lifecycle", with_events(f"""
-SELECT transaction_id, last(status ORDER BY {SEQ}) AS status, count(*) AS deliveries
-FROM ev GROUP BY transaction_id"""))
+SELECT transaction_id, last(status ORDER BY {_SEQ0}) AS status, count(*) AS deliveries
+FROM ev GROUP BY transaction_id""", changes=_NO_TIME))
 def st7_stream_lifecycle(spark, sf_dir):
-    """ST7: last status per transaction kept as streaming state (update mode)."""
+    """ST7: last status per transaction from a stream; late and undated deliveries count."""
     root, stream = _stream_input(spark, sf_dir, "st7")
     jobs.start_lifecycle_stream(stream, f"{root}/out", f"{root}/ckpt").awaitTermination()
     return jobs.read_lifecycle(spark, f"{root}/out")
@@ -392,11 +664,44 @@ def st7_stream_lifecycle(spark, sf_dir):
 
 @register("st2_stream_late_split", with_events(f"""
 SELECT CASE WHEN {_LAG} > 86400 THEN 'late' ELSE 'on_time' END AS output, event_type,
-       count(*) AS n FROM ev GROUP BY 1, 2"""))
+       count(*) AS n FROM ev GROUP BY 1, 2""", changes=_NO_TIME))
 def st2_stream_late_split(spark, sf_dir):
-    """ST2 in a stream: late rows go to their own output before any stateful step, none lost."""
+    """ST2 in a stream: late rows go to their own output, none lost."""
     root, stream = _stream_input(spark, sf_dir, "st2")
     jobs.start_late_split_stream(stream, f"{root}/out", f"{root}/ckpt", 86400).awaitTermination()
     rows = spark.read.parquet(f"{root}/out")
     return (rows.withColumnRenamed("_table", "output")
             .groupBy("output", "event_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+# --- ties: two events of one instant and step ---------------------------------------------------
+_TIED = ("CASE WHEN ord >= 4 THEN original_transaction_timestamp + INTERVAL 3 HOUR ELSE ingestion_timestamp END "
+         "AS ingestion_timestamp, CAST(least(ord, 4) AS INTEGER) AS ord, CAST(0 AS INTEGER) AS copy_no")
+
+
+def _tied(spark, sf_dir) -> DataFrame:
+    """Settlements, refunds and chargebacks of a transaction at one instant, as a feed without
+    step and copy numbers would give them."""
+    evs = _ev(spark, sf_dir)
+    late = F.col("ord") >= 4
+    return evs.withColumn("ingestion_timestamp", F.when(late, F.col("original_transaction_timestamp")
+                                                        + F.make_dt_interval(hours=F.lit(3)))
+                          .otherwise(F.col("ingestion_timestamp"))) \
+        .withColumn("ord", F.least(F.col("ord"), F.lit(4))).withColumn("copy_no", F.lit(0))
+
+
+@register("j3_tied_events", with_events(f"""
+SELECT transaction_id, last(status ORDER BY {SEQ}) AS status, max(ingestion_timestamp) AS last_ingestion,
+       count(*) AS deliveries FROM ev GROUP BY transaction_id""", changes=_TIED))
+def j3_tied_events(spark, sf_dir):
+    """J3 with a refund and a chargeback at one instant: the event id decides, on any row order."""
+    return lifecycle.lifecycle_state(_tied(spark, sf_dir))
+
+
+@register("f2_tied_events", with_events(f"""
+SELECT transition, count(*) AS n FROM (
+  SELECT coalesce(lag(status) OVER (PARTITION BY transaction_id ORDER BY {SEQ}), 'START')
+         || ' -> ' || status AS transition FROM ev) GROUP BY transition""", changes=_TIED))
+def f2_tied_events(spark, sf_dir):
+    """F2 / G1 with ties in time, step and copy."""
+    return reports.transition_counts(_tied(spark, sf_dir)).select("transition", "n")

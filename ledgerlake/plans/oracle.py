@@ -25,6 +25,7 @@ o_ AS (
      OR (x.ord = 5 AND ok AND cap AND late AND r >= 70 AND r < 95 AND k % 2 = 0)
 ), t_ AS (
   SELECT *,
+    -- fixed values: event types, statuses and value lists of the derived log
     CASE WHEN ord = 1 THEN 'payment_intent_created'
          WHEN ord = 2 AND ok THEN 'payment_intent_authorized'
          WHEN ord = 2 THEN 'payment_intent_failed'
@@ -93,11 +94,15 @@ DEDUP_CTE = r"""
 dd AS (
   SELECT * EXCLUDE (rn_) FROM (
     SELECT *, row_number() OVER (PARTITION BY transaction_id, idempotency_key, event_type
-                                 ORDER BY ingestion_timestamp, ord, copy_no) AS rn_
+                                 ORDER BY ingestion_timestamp, ord, copy_no, event_id) AS rn_
     FROM ev) WHERE rn_ = 1
 )"""
 
 
-def with_events(body: str, dedup: bool = False, extra: str = "") -> str:
-    ctes = EVENTS_CTE + ("," + DEDUP_CTE if dedup else "") + ("," + extra if extra else "")
+def with_events(body: str, dedup: bool = False, extra: str = "", changes: str = "") -> str:
+    """The events CTE, then ``body``. ``changes`` (``expr AS column, ...``) replace columns of the log."""
+    events = EVENTS_CTE.replace("), ev AS (", "), ev_ AS (" if changes else "), ev AS MATERIALIZED (")
+    if changes:
+        events += f",\nev AS MATERIALIZED (SELECT * REPLACE ({changes}) FROM ev_)"
+    ctes = events + ("," + DEDUP_CTE if dedup else "") + ("," + extra if extra else "")
     return "WITH " + ctes.strip() + "\n" + body.strip()

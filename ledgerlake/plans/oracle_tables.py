@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from ledgerlake.schemas import TABLES
 
-ORDER_ASC = "ingestion_timestamp, ord, copy_no"
-ORDER_DESC = "ingestion_timestamp DESC, ord DESC, copy_no DESC"
+ORDER_ASC = "ingestion_timestamp, ord, copy_no, event_id"
+ORDER_DESC = "ingestion_timestamp DESC, ord DESC, copy_no DESC, event_id DESC"
 
 _FOLDS = {
     # table: (routed event types, key, first-wins column expressions)
@@ -106,9 +106,21 @@ t_payment_status_history AS (
 )"""
 
 
+RAW_CTE = f"""
+t_raw_payment_events AS (
+  SELECT {uuid_sql("concat_ws('|', transaction_id, idempotency_key)")} AS event_id,
+    transaction_id, idempotency_key, event_type,
+    json_object('event_id', event_id, 'transaction_id', transaction_id)::VARCHAR AS payload,
+    ingestion_timestamp, false AS processed
+  FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id, idempotency_key ORDER BY {ORDER_ASC}) AS rn_
+        FROM ev) WHERE rn_ = 1
+)"""
+
+
 def all_tables_ctes() -> str:
     parts = [fold_cte(t) for t in _FOLDS]
     parts.append(first_touch_cte("users", "user_id"))
     parts.append(first_touch_cte("merchants", "merchant_id"))
     parts.append(HISTORY_CTE)
+    parts.append(RAW_CTE)
     return ",".join(p.strip("\n") for p in parts)

@@ -22,15 +22,17 @@ from ledgerlake.operators.dedup import dedup_history
 from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
 from ledgerlake.operators.upsert import derive_merchants, derive_users, fold_events
 from ledgerlake.schemas import ARRIVAL_ORDER, HISTORY_COLUMNS, PRODUCER_FIELDS, TABLES
-from ledgerlake.sources.payment_log import payment_events
+from ledgerlake.fixtures.payment_log import payment_events
+from ledgerlake.streaming.jobs import land_raw
 from ledgerlake.streaming.store import write_tables
 
 TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "chargebacks",
-               "payment_status_history"]
+               "payment_status_history", "raw_payment_events"]
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payment_events(spark, sf_dir)
+    # the table is one small file: deal it over the cores before the per-row work
+    return payment_events(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
 
 
 def with_payload(raw: DataFrame) -> DataFrame:
@@ -51,7 +53,7 @@ def status_history(evs: DataFrame, entity_mode: str = "entity",
 
 def entity_tables(evs: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
                   applied_at=None) -> dict[str, DataFrame]:
-    """E1-E6 plus the status history, folded from one batch of events."""
+    """E1-E6, the status history and the raw landing table, folded from one batch of events."""
     out = {
         "users": derive_users(evs, order, applied_at),
         "merchants": derive_merchants(evs, order, applied_at),
@@ -59,19 +61,27 @@ def entity_tables(evs: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
     for t in ("payment_intents", "charges", "refunds", "chargebacks"):
         out[t] = fold_events(evs, t, order, applied_at)
     out["payment_status_history"] = status_history(evs, "entity", order).select(*HISTORY_COLUMNS)
+    out["raw_payment_events"] = land_raw(evs, order).select(*TABLES["raw_payment_events"].column_names)
     return out
 
 
+def materialise_events(evs: DataFrame, path: str) -> DataFrame:
+    """The normalised events as a written table: parsed once, however many folds read them."""
+    evs.write.mode("overwrite").parquet(path)
+    return evs.sparkSession.read.schema(evs.schema).parquet(path)
+
+
 def materialise_tables(spark: SparkSession, evs: DataFrame, path: str,
                        order: Sequence[str] = ARRIVAL_ORDER) -> dict[str, DataFrame]:
     """Fold every table from one batch of events, write them under ``path`` and read back.
 
-    All seven folds are written by one job (a sparse union partitioned by
-    table name), so their stages run side by side. The written tables cut
-    the lineage: a report that reads a table in several branches (each
-    pruned differently, so no exchange could be shared) scans parquet
-    instead of refolding the log every time.
+    The normalised events are written once; the folds of all tables read them
+    with their event-type filters pushed into the scan, and are written by one
+    job (a sparse union partitioned by table name), so their stages run side
+    by side.
     """
+    evs = materialise_events(evs, f"{path}/events")
+    path = f"{path}/tables"
     write_tables(entity_tables(evs, order), path)
     return {name: spark.read.parquet(f"{path}/_table={name}").select(*TABLES[name].column_names)
             for name in TABLE_ORDER}

@@ -45,7 +45,6 @@ ALLOWED_TRANSITIONS = [
     ("captured", "settled"), ("captured", "refunded"), ("captured", "chargeback"),
     ("refunded", "settled"), ("refunded", "refunded"), ("refunded", "chargeback"),
 ]
-FINAL_STATUSES = ["failed", "settled", "chargeback"]
 # Older event shapes: v0 type names -> current event types.
 V0_EVENT_TYPES = {
     "AUTHORIZATION": "payment_intent_authorized",
@@ -65,10 +64,24 @@ V1_STATUS_EVENT_TYPES = {
     "chargeback": "chargeback_received",
 }
 EMAIL_DOMAIN = "@example.com"
-ENTITY_PREFIXES = ["intent_", "charge_", "refund_", "chargeback_"]
 UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
-# ISO-8601 forms the producer writes; anything else parses to null.
-ISO_TS_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# ISO-8601 forms: calendar or week date, each extended or basic, and a time of one
+# to three parts with a fraction and an offset; anything else parses to null.
+ISO_TS_PATTERN = (r"^(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(-[1-7])?|\d{4}W\d{2}[1-7]?)"
+                  r"([T ](\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?|\d{4}(\d{2}([.,]\d+)?)?)(Z|[+-]\d{2}(:?\d{2})?)?)?$")
+# The form that the parser reads itself, the week date, and what turns the others into it.
+ISO_USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?)?)?$"
+ISO_WEEK = r"^(\d{4})-?W(\d{2})-?([1-7])?"
+ISO_REWRITES = [
+    (r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3"),
+    (r"([T ]\d{2})(\d{2})(\d{2})(?=[.,Z+-]|$)", "$1:$2:$3"),
+    (r"([T ]\d{2})(\d{2})(?=[Z+-]|$)", "$1:$2"),
+    (r"([T ]\d{2})(?=[Z+-]|$)", "$1:00"),
+    (r"([T ]\d{2}:\d{2})(?=[Z+-])", "$1:00"),
+    (r",", "."),
+    (r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"([T ].*[+-]\d{2})$", "$1:00"),
+]
 # -----------------------------------------------------------------------------
 
 INTENT_EVENT_TYPES = [e for e, t in EVENT_TARGET.items() if t == "payment_intents"]
@@ -88,7 +101,8 @@ K2 = ["transaction_id", "idempotency_key"]
 K3 = K2 + ["event_type"]
 # Arrival order. ``ord`` is the lifecycle step and ``copy_no`` the delivery
 # copy (0 original, 1 exact copy, 2 retry); readers of real feeds fill both.
-ARRIVAL_ORDER = ["ingestion_timestamp", "ord", "copy_no"]
+# Steps repeat (a refund and a chargeback of one instant), so the id decides last.
+ARRIVAL_ORDER = ["ingestion_timestamp", "ord", "copy_no", "event_id"]
 
 # Raw event as the producer emits it (one flat JSON object).
 RAW_EVENT_SCHEMA = T.StructType([
@@ -185,6 +199,7 @@ class Table:
         return [c.name for c in self.columns]
 
 
+# --- fixed values: columns, lengths, keys and references of the operational tables ---
 S, L, B, TS = T.StringType(), T.LongType(), T.BooleanType(), T.TimestampType()
 
 
@@ -247,5 +262,6 @@ TABLES: dict[str, Table] = {t.name: t for t in [
         _c("payload", S, None, True), _c("ingestion_timestamp", TS), _c("processed", B)],
         key=["event_id"], unique=[K2], uuid_columns=["event_id"], json_columns=["payload"]),
 ]}
+# -----------------------------------------------------------------------------
 
 HISTORY_COLUMNS = TABLES["payment_status_history"].column_names

@@ -8,11 +8,10 @@ the session has none, which is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,38 +63,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or an already set SparkContext
-    checkpoint dir). Only when neither is set -- local tests -- a private
-    folder is created and registered.
+    checkpoint dir). Only a local session without either gets a private folder
+    of its own; on a cluster a machine-local folder would lose data, so there
+    the setting is required.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of :func:`checkpoint_root` for one job run."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
-
+    """A fresh, unique sub-folder of :func:`checkpoint_root` for one job run.
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a coarse input at least one partition per core.
-
-    A small file with one row group, or a micro-batch from one file, is read
-    as one split; per-row work (text formatting, JSON and timestamp parsing,
-    partial aggregation) would then run in one task. A large input already
-    has a split per block and is left alone -- no extra shuffle. Checking
-    the split count plans the scan but runs no job.
+    Writers create it. It is deleted when the application ends: results may
+    be read from it until then.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

@@ -1,163 +1,102 @@
-"""Structured Streaming jobs (ST3, ST4, ST7) and log sinks.
-
-Streams read JSON messages with an explicit schema, are normalised with the
-same column functions as batch, and are ordered by ingestion time -- the
-only order the feed has. Event time is 2-45 days behind for late events, so
-a watermark on event time would silently drop them; every watermark here is
-on ``ingestion_timestamp`` (ST2 splits event-time lateness off instead).
+"""Structured Streaming jobs (ST2, ST3, ST4, ST6, ST7) and log sinks.
+
+Streams read JSON messages with an explicit schema and are normalised with
+the same column functions as batch. Every stream writes through
+``foreachBatch`` into one folder per batch, which a redo overwrites. There is no
+watermark: the reference's keys conflict for ever, deliveries may come in any
+order and without a readable time, so any watermark would drop or repeat rows.
+What would be streaming state is a fold over the batches' folders instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ledgerlake.functions.normalise import arrival_seq, normalise_events, stable_uuid
 from ledgerlake.operators.dedup import dedup_history, dedup_raw
 from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
-from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, PRODUCER_FIELDS, RAW_EVENT_SCHEMA
-from ledgerlake.sources.events import parse_event_messages
 from ledgerlake.operators.lifecycle import split_late
-from ledgerlake.streaming.store import FoldedStore, first_write_wins, write_tables
+from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, RAW_EVENT_SCHEMA
+from ledgerlake.sources.events import parse_event_messages, read_change_feed
+from ledgerlake.streaming.store import FoldedStore, append_absent, write_tables
 
 
 # --- inputs ------------------------------------------------------------------------
-def write_message_files(raw: DataFrame, path: str, n_files: int = 8) -> str:
-    """Write raw deliveries as JSON-lines message files, in arrival order.
-
-    Used to replay a derived log through a file stream source, which takes
-    files in modification-time order. The log is range-split by ingestion
-    time in one job, then each range is appended as its own file, oldest
-    first, so the stream sees arrival order -- as a live feed would, and as
-    ingestion-time watermarks assume. Files are gzip-compressed (JSON
-    shrinks about tenfold; one file is one micro-batch, so splitting is not
-    needed). The order columns (``ord``, ``copy_no``) travel as two extra
-    JSON keys.
-    """
-    fields = [F.col(c) for c in PRODUCER_FIELDS + ["ord", "copy_no"]]
-    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    stage = f"{path.rstrip('/')}-staged"
-    (raw.select(value.alias("value"), F.col("ingestion_timestamp").alias("_ts"))
-     .repartitionByRange(n_files, "_ts")
-     .select("value", F.spark_partition_id().alias("_chunk"))
-     .write.mode("overwrite").option("compression", "gzip").partitionBy("_chunk").text(stage))
-    spark = raw.sparkSession
-    for chunk in range(n_files):   # a handful of file moves, not a loop over data
-        try:
-            part = spark.read.text(f"{stage}/_chunk={chunk}")
-        except AnalysisException:  # an empty range has no folder
-            continue
-        part.coalesce(1).write.mode("append").option("compression", "gzip").text(path)
-    return path
-
-
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
-                   spread_to: int | None = None) -> DataFrame:
-    """A1 as a stream: JSON message files -> normalised events, as batch normalises them.
-
-    A micro-batch of one file is one split; with ``spread_to`` its lines are
-    dealt round-robin over that many tasks before the JSON is parsed (one
-    extra shuffle per batch; worth it for few, large files, not for a
-    many-partition topic). The store spreads each batch after parsing anyway.
-    """
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 8) -> DataFrame:
+    """A1 as a stream: JSON message files -> normalised events, as batch normalises them."""
     msgs = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(path)
-    if spread_to:
-        msgs = msgs.repartition(spread_to)
     schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField("ord", T.IntegerType()),
                                                      T.StructField("copy_no", T.IntegerType())])
     return normalise_events(parse_event_messages(msgs, schema=schema))
 
 
+def _start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+           available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
 # --- ST3: streaming first-per-K3 -------------------------------------------------------
-def stream_dedup(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """ST3: first delivery per K3 with bounded state (state kept ``delay`` past the watermark).
-
-    Copies arrive within seconds of their original by ingestion time, so an
-    ingestion-time watermark of a day holds every copy while keeping state
-    bounded. Within one micro-batch the copy kept is arbitrary; the K3 set
-    and each K3's status are exact. For exact first-arrival rows across
-    unbounded time use :func:`start_upsert_stream` (the log is a folded table).
+def start_dedup_stream(events: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                       columns: Sequence[str] = ("status",)) -> StreamingQuery:
+    """ST3: the first delivery of each K3, for ever (ON CONFLICT DO NOTHING).
+
+    A batch is folded to one row per K3 (partial aggregation first, so a
+    storm of copies shrinks map-side) and only keys that no earlier batch wrote
+    are appended; of the log just its key columns are read.
     """
-    return (events.withWatermark("ingestion_timestamp", delay)
-            .dropDuplicatesWithinWatermark(K3))
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        append_absent(dedup_history(batch, columns=columns).select(*K3, *columns), path, batch_id, K3)
+
+    return _start(events, sink, checkpoint, available_now)
 
 
-# --- ST4 / A7: streaming upsert into the folded store ----------------------------------
+# --- ST4: streaming upsert into the folded store ----------------------------------------
 def start_upsert_stream(events: DataFrame, store: FoldedStore, checkpoint: str,
-                        available_now: bool = True, applied_at=None,
-                        compact_every: int | None = None) -> StreamingQuery:
-    """ST4: every micro-batch folded into all tables at once (``foreachBatch`` + commit record).
-
-    Exactly-once from the checkpoint (source offsets) plus the store's
-    batch-id guard: a batch replayed after a failure is skipped or redone
-    whole, never half-applied. ``compact_every`` folds the committed deltas
-    into one base after every that many batches, so reads stay one scan
-    of one base plus a bounded number of deltas.
+                        available_now: bool = True, applied_at=None) -> StreamingQuery:
+    """ST4: every micro-batch folded into all tables at once.
+
+    A batch replayed after a failure overwrites its own folder (source
+    offsets come from the checkpoint), so it is applied once.
     """
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        applied = store.apply_events(batch, batch_id, applied_at=applied_at)
-        if applied and compact_every and (batch_id + 1) % compact_every == 0:
-            store.compact()
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        store.apply_events(batch, batch_id, applied_at=applied_at)
 
-    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    return _start(events, sink, checkpoint, available_now)
 
 
 # --- ST7: streaming life-cycle state -----------------------------------------------------
-def lifecycle_updates(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER,
-                      window: str = "30 days", delay: str = "1 day") -> DataFrame:
-    """ST7: last status per transaction as a streaming aggregation (output mode ``update``).
-
-    Grouped by (transaction, ingestion-time window) under an ingestion-time
-    watermark, so the state of a window is dropped once the watermark passes
-    its end: state holds the recent transactions, not every transaction ever
-    seen. Each window's row carries its last status (by arrival) and
-    delivery count; :func:`read_lifecycle` combines the windows of a
-    transaction exactly. Arrival is monotone in a live feed, so the
-    watermark loses no row (``delay`` absorbs retries arriving out of step).
-    """
+def lifecycle_delta(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+    """One batch's last status, its arrival and the delivery count per transaction."""
     seq = arrival_seq(order)
-    return (events.withWatermark("ingestion_timestamp", delay)
-            .groupBy("transaction_id", F.window("ingestion_timestamp", window).alias("span"))
-            .agg(F.max_by(F.col("status"), seq).alias("status"),
-                 F.max(seq).alias("last_seq"),
-                 F.count(F.lit(1)).alias("deliveries"))
-            .select("transaction_id", F.col("span.start").alias("span_start"), "status",
-                    "last_seq", "deliveries"))
+    return events.groupBy("transaction_id").agg(
+        F.max_by(F.col("status"), seq).alias("status"), F.max(seq).alias("last_seq"),
+        F.count(F.lit(1)).alias("deliveries"))
 
 
 def start_lifecycle_stream(events: DataFrame, path: str, checkpoint: str,
                            available_now: bool = True) -> StreamingQuery:
-    """Write each batch's updated rows under ``path/batch=<id>``; read with :func:`read_lifecycle`."""
+    """ST7: write each batch's delta under ``path/batch=<id>``; read with :func:`read_lifecycle`."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        lifecycle_delta(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = (lifecycle_updates(events).writeStream.outputMode("update")
-              .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    return _start(events, sink, checkpoint, available_now)
 
 
 def read_lifecycle(spark: SparkSession, path: str) -> DataFrame:
-    """Current state per transaction from all written updates.
+    """Current state per transaction: the status of its latest arrival, deliveries summed.
 
-    The newest update of each (transaction, window) is that window's total;
-    the transaction's status is the one of its latest arrival across
-    windows, its deliveries the sum over windows. Both steps are partial
-    aggregations.
+    Rows without a readable time, and rows that come days late, count like all others.
     """
-    rows = spark.read.parquet(path)
-    spans = rows.groupBy("transaction_id", "span_start").agg(
-        F.max_by(F.struct("status", "last_seq", "deliveries"), "batch").alias("_u"))
-    return spans.groupBy("transaction_id").agg(
-        F.max_by(F.col("_u.status"), F.col("_u.last_seq")).alias("status"),
-        F.sum("_u.deliveries").alias("deliveries"))
+    return spark.read.parquet(path).groupBy("transaction_id").agg(
+        F.max_by(F.col("status"), F.col("last_seq")).alias("status"),
+        F.sum("deliveries").alias("deliveries"))
 
 
 # --- ST2 in a stream: late rows to their own output ---------------------------------------
@@ -165,44 +104,61 @@ def start_late_split_stream(events: DataFrame, path: str, checkpoint: str, limit
                             available_now: bool = True) -> StreamingQuery:
     """ST2: split every micro-batch into on-time and late rows by event-time lag.
 
-    This runs before any stateful step, so late events reach their own
-    output (``_table=late``) instead of being dropped by a watermark. Both
-    outputs are written in one job per batch.
+    Late events reach their own output (``_table=late``). Both outputs are
+    written in one job per batch.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         on_time, late = split_late(batch, limit_seconds)
         write_tables({"on_time": on_time, "late": late}, f"{path}/batch={batch_id}")
 
-    writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    return _start(events, sink, checkpoint, available_now)
+
+
+# --- ST6: the change feed as a stream -----------------------------------------------------
+def start_change_stream(messages: DataFrame, path: str, checkpoint: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """A2 / ST6: change messages -> typed log rows, one folder per batch."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        read_change_feed(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(messages, sink, checkpoint, available_now)
 
 
 # --- A4 / A6: log sinks on plain tables --------------------------------------------------
-def append_status_history(batch: DataFrame, target: DataFrame, entity_mode: str = "entity",
-                          order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
-    """A4: the batch's first delivery per K3, only where the target has no row for that K3."""
-    new_rows = history_rows(dedup_history(batch, order, columns=HISTORY_INPUTS), entity_mode)
-    return first_write_wins(target, new_rows, K3)
-
-
-def write_status_log(history: DataFrame, path: str, partitions: int | None = None) -> str:
-    """The status log laid out for its reads.
-
-    Partitioned by ingestion month, so time-bounded reads prune whole folders
-    (months rather than days: the derived log spans six years);
-    within each file rows are sorted by transaction, so a lookup's
-    ``transaction_id = ...`` filter is pushed into the parquet scan and
-    skips row groups by their min/max statistics. The rows are
-    range-partitioned on (month, transaction) first: a month holding a third
-    of the log is split across tasks instead of landing in one.
+def append_status_history(batch: DataFrame, path: str, batch_id: int, entity_mode: str = "entity",
+                          order: Sequence[str] = ARRIVAL_ORDER) -> None:
+    """A4: append the batch's first delivery per K3 to the log at ``path``.
+
+    Keys that an earlier batch wrote stay as they are. Read the whole log with
+    ``spark.read.parquet(path)``; ``batch`` says which batch wrote a row.
+    """
+    rows = history_rows(dedup_history(batch, order, columns=HISTORY_INPUTS), entity_mode)
+    append_absent(rows, path, batch_id, K3)
+
+
+#: Folders of the log's lookup layout.
+LOG_BUCKETS = 64
+
+
+def log_bucket(transaction_id: Column) -> Column:
+    return F.pmod(F.xxhash64(transaction_id), F.lit(LOG_BUCKETS)).cast("int")
+
+
+def write_status_log(history: DataFrame, path: str, by: str = "transaction") -> str:
+    """The status log laid out for its reads.
+
+    ``by="transaction"``: a folder per hash bucket of the transaction, so a
+    lookup opens one; rows lie sorted by transaction, so its filter skips row
+    groups by their statistics. ``by="event_time"``: a folder per event month,
+    for reads of a span of time. Rows are range-split on (folder,
+    transaction, id) first: a folder with a third of the log is written by
+    several tasks.
     """
-    spark = history.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (history.withColumn("ingestion_month", F.trunc("ingestion_timestamp", "month"))
-     .repartitionByRange(n, "ingestion_month", "transaction_id")
-     .sortWithinPartitions("ingestion_month", "transaction_id")
-     .write.mode("overwrite").partitionBy("ingestion_month").parquet(path))
+    folder, value = (("txn_bucket", log_bucket(F.col("transaction_id"))) if by == "transaction"
+                     else ("event_month", F.date_format("event_timestamp", "yyyy-MM")))
+    order = [folder, "transaction_id", "event_id"]
+    (history.withColumn(folder, value).repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").partitionBy(folder).parquet(path))
     return path
 
 

@@ -7,39 +7,38 @@ registering; the named tests exercise them.
 from __future__ import annotations
 
 QUERIES_BY_ID: dict[str, list[str]] = {
-    "A1": ["a1_json_events"],
+    "A1": ["a1_json_events", "a1_read_files"],
     "A2": ["a2_change_feed"],
     "A3": ["a3_table_scan"],
     "A4": ["a4_append_history"],
-    "A5": ["st4_stream_upsert", "e3_payment_intents"],
-    "A6": ["a6_land_raw"],
-    "A7": ["st4_stream_upsert"],
-    "B1": ["b1_amount_minor"],
-    "B2": ["b2_timestamps"],
+    "A5": ["st4_stream_upsert", "a5_older_second_batch"],
+    "A6": ["a6_land_raw", "a6_unprocessed"],
+    "B1": ["b1_amount_minor", "c3_c4_dirty_rows"],
+    "B2": ["b2_timestamps", "b2_iso_forms"],
     "B3": ["b4_payload_fields"],
     "B4": ["b4_payload_fields", "c1_lookup_latest", "j6_failure_breakdown"],
     "B5": ["e1_users", "e2_merchants"],
-    "B6": ["a1_json_events", "e5_refunds"],
+    "B6": ["a1_read_files", "e5_refunds"],
     "B7": ["b7_log_ids"],
     "B8": ["e3_payment_intents", "e4_charges", "e5_refunds", "e6_chargebacks"],
     "B9": ["e3_payment_intents"],
-    "B10": ["b10_unify_v1", "jn3_fill_sparse_late", "c4_reject_reasons", "d6_v0_exact_copies"],
-    "C1": ["c1_lookup_latest"],
+    "B10": ["b10_unify_v0", "b10_unify_v1", "b10_unify_versions", "jn3_fill_sparse_late", "c4_reject_reasons", "d6_v0_exact_copies"],
+    "C1": ["c1_lookup_latest", "c1_events_of_a_month"],
     "C2": ["c2_route_counts"],
-    "C3": ["c4_reject_reasons"],
-    "C4": ["c4_reject_reasons"],
-    "C5": ["c12_constraint_report"],
-    "C6": ["c12_constraint_report"],
-    "C7": ["c7_one_entity_literal", "c12_constraint_report"],
-    "C8": ["c12_constraint_report"],
-    "C9": ["c12_constraint_report", "jn5_lost_refund_ids"],
-    "C10": ["c12_constraint_report"],
+    "C3": ["c3_c4_dirty_rows"],
+    "C4": ["c3_c4_dirty_rows", "c4_reject_reasons"],
+    "C5": ["c12_constraint_report", "c12_broken_tables"],
+    "C6": ["c12_constraint_report", "c12_broken_tables"],
+    "C7": ["c7_one_entity_literal", "c12_broken_tables"],
+    "C8": ["c12_constraint_report", "c12_broken_tables"],
+    "C9": ["c12_broken_tables", "jn5_lost_refund_ids"],
+    "C10": ["c12_constraint_report", "c12_broken_tables"],
     "C11": ["a2_change_feed"],
-    "C12": ["c12_constraint_report"],
+    "C12": ["c12_constraint_report", "c12_broken_tables"],
     "C13": ["e1_users", "e2_merchants"],
     "D1": ["d1_dedup_history", "h2_top_transitions"],
     "D2": ["d2_dedup_raw"],
-    "D3": ["d3_classify_deliveries"],
+    "D3": ["d3_classify_deliveries", "d3_null_keys"],
     "D4": ["d4_duplicate_rates"],
     "D5": ["d5_key_collisions"],
     "D6": ["d6_v0_exact_copies"],
@@ -51,7 +50,7 @@ QUERIES_BY_ID: dict[str, list[str]] = {
     "E6": ["e6_chargebacks"],
     "E7": ["e7_intent_status"],
     "F1": ["f1_status_counts"],
-    "F2": ["f2_transition_counts", "h2_top_transitions"],
+    "F2": ["f2_transition_counts", "f2_tied_events", "h2_top_transitions"],
     "F3": ["f3_pool_sizes"],
     "F4": ["f4_apply_metrics"],
     "F5": ["f5_rows_per_transaction", "c1_lookup_latest"],
@@ -63,7 +62,7 @@ QUERIES_BY_ID: dict[str, list[str]] = {
     "U1": ["u1_bag_union"],
     "J1": ["j1_open_authorisations"],
     "J2": ["j2_open_captures"],
-    "J3": ["j3_lifecycle_state"],
+    "J3": ["j3_lifecycle_state", "j3_tied_events"],
     "J4": ["j4_illegal_transitions", "j4_illegal_by_event_time"],
     "J5": ["j5_lifecycle_funnel"],
     "J6": ["j6_failure_breakdown"],
@@ -83,8 +82,10 @@ QUERIES_BY_ID: dict[str, list[str]] = {
 }
 
 # Behaviour beyond the registered queries, checked by these tests.
+# Not built: a table format of one's own (commit log, versions, compaction) is engine work.
+NOT_BUILT = ["A7"]
+
 TESTED_ONLY: dict[str, list[str]] = {
-    "A7": ["tests/test_sources_streams.py::test_store_is_batch_atomic_and_replay_safe"],
     "B6": ["tests/test_normalise.py::test_default_applies_only_when_key_absent"],
     "B9": ["tests/test_fold.py::test_applied_at_literal_stamps_one_time_per_batch"],
     "C3": ["tests/test_validate.py::test_strict_mode_fails_the_batch"],

@@ -30,10 +30,19 @@ def test_timestamps_kept_and_rejected(spark):
         "2024-01-01 05:06:07": datetime(2024, 1, 1, 5, 6, 7),
         "2024-01-01T00:00:00.250000+00:00": datetime(2024, 1, 1, 0, 0, 0, 250000),
         "2024-01-01T02:00:00+0200": datetime(2024, 1, 1, 0, 0),
+        "20240101T000000": datetime(2024, 1, 1, 0, 0),
+        "2024-W01-1": datetime(2024, 1, 1, 0, 0),
+        "2024W017": datetime(2024, 1, 7, 0, 0),
+        "2020-W53-5T10": datetime(2021, 1, 1, 10, 0),
+        "2024-01-01T10": datetime(2024, 1, 1, 10, 0),
+        "2024-01-01T10+02": datetime(2024, 1, 1, 8, 0),
+        "2024-01-01T10:30-0130": datetime(2024, 1, 1, 12, 0),
+        "20240101T1030": datetime(2024, 1, 1, 10, 30),
+        "2024-01-01T00:00:00,5": datetime(2024, 1, 1, 0, 0, 0, 500000),
     }
     rejected = ["2024", "2024-01", "2024-1-1T00:00:00", "T10:00", " 2024-01-01",
                 "2024-01-01T00:00:00 America/New_York", "garbage", "", None,
-                "20240101T000000", "2024-W01-1"]
+                "2021-W53-1", "2024-W54", "2024-W00-1", "2024-01-01T1", "2024-13-01", "20240101T25"]
     texts = list(kept) + rejected
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     out = df.select(N.parse_iso_timestamp(F.col("s")).cast("timestamp_ntz").alias("t")).collect()
