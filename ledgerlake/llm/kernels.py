@@ -112,6 +112,13 @@ class Rolling:
         h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def grams(self, k: int, first: int, n: int) -> np.ndarray:
+        """The hashes of the n strings of k bytes that start at ``first`` and behind it."""
+        h = self.sums[first + k:first + k + n] - self.sums[first:first + n]
+        h *= self.inverse[first:first + n]
+        h += np.uint64(k * 0xD6E8FEB86659FD93 % (1 << 64))
+        return mix(h)
+
 
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -83,8 +83,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int
     parts = []
     for at in range(0, max(n - length + 1, 0), _PIECE):
         to = min(n, at + _PIECE + length - 1)  # windows at .. at + _PIECE - 1
-        places = np.arange(to - at - GRAM + 1)
-        value = (roll.of(places + at, places + at + GRAM) >> _PLACE << _PLACE) | places.astype(np.uint64)
+        places = np.arange(to - at - GRAM + 1, dtype=np.uint64)
+        value = (roll.grams(GRAM, at, len(places)) >> _PLACE << _PLACE) | places
         span, width = length - GRAM + 1, 1
         least = value
         while width * 2 <= span:
@@ -127,10 +127,9 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         word = (word << np.uint64(8)) | padded[i:i + len(word)]
     # the next place where the byte changes decides; the end counts as smaller than any byte
     change = np.flatnonzero(text[1:] != text[:-1])
-    at = np.searchsorted(change, np.arange(n))
     small = np.zeros(n, bool)
-    has = at < len(change)
-    small[has] = text[change[at[has]]] < text[change[at[has]] + 1]
+    if len(change):
+        small[:change[-1] + 1] = np.repeat(text[change] < text[change + 1], np.diff(change, prepend=-1))
 
     # stage one: refine by eight bytes at a time, only where suffixes still tie
     direct = np.flatnonzero(small)
@@ -186,13 +185,15 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def first_documents(text: np.ndarray, window: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     """For each window start the smallest ``doc`` among the windows with equal bytes."""
     order, word = suffix_order(text, length)
-    same = np.ones(max(len(order) - 1, 0), bool)  # neighbours' common prefix reaches ``length``
+    still = np.arange(len(order) - 1)  # neighbours whose common prefix may reach ``length``
     for step in range(0, length, 8):
-        w = word[order + step]
+        a, b = word[order[still] + step], word[order[still + 1] + step]
         if step + 8 > length:
-            w = w >> np.uint64(8 * (step + 8 - length))
-        same &= w[1:] == w[:-1]
-    heads = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            a, b = (w >> np.uint64(8 * (step + 8 - length)) for w in (a, b))
+        still = still[a == b]
+    head = np.ones(len(order), bool)
+    head[still + 1] = False
+    heads = np.flatnonzero(head)
     own = np.full(len(text), _LAST)
     own[window] = doc
     least = np.minimum.reduceat(own[order], heads)
@@ -202,9 +203,17 @@ def first_documents(text: np.ndarray, window: np.ndarray, doc: np.ndarray, lengt
 
 
 def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of all stretches, one after the other."""
-    at = np.cumsum(size) - size
-    return data[np.repeat(start - at, size) + np.arange(int(size.sum()))]
+    """The bytes of all stretches, one after the other; indexes are made for about a megabyte at a time."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    i = 0
+    while i < len(size):
+        first = int(ends[i] - size[i])
+        j = max(int(np.searchsorted(ends, first + (1 << 20), side="right")), i + 1)
+        n, at = size[i:j], ends[i:j] - size[i:j] - first
+        out[first:int(ends[j - 1])] = data[np.repeat(start[i:j] - at, n) + np.arange(int(ends[j - 1]) - first)]
+        i = j
+    return out
 
 
 def _by_range(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
