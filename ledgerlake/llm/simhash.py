@@ -27,8 +27,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.kernels import (
@@ -36,6 +37,7 @@ from ledgerlake.llm.kernels import (
 
 BITS = 128
 SPARE = 2
+_NO_ID = -(1 << 63)
 #: Text bytes a task should hold, for the number of ranges.
 RANGE_BYTES = 16 << 20
 _EACH_BIT = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1).astype(np.float32)
@@ -124,6 +126,25 @@ NEIGHBOUR_SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprin
                     "edited_fingerprint string, near_edited double, near_next double")
 
 
+def _lookup(spark: SparkSession, keys: np.ndarray, values: np.ndarray | None):
+    """A column function: how many sorted keys lie at or below an id, or the equal key's value (else -1).
+
+    The keys, one a range of documents, are broadcast.
+    """
+    shared = spark.sparkContext.broadcast((keys, values))
+
+    @F.pandas_udf("long")
+    def look(ids: pd.Series) -> pd.Series:
+        keys, values = shared.value
+        at = np.searchsorted(keys, ids.to_numpy(), side="right")
+        if values is None:
+            return pd.Series(at)
+        hit = keys[np.maximum(at - 1, 0)] == ids.to_numpy()
+        return pd.Series(np.where(hit & (at > 0), values[np.maximum(at - 1, 0)], -1))
+
+    return look
+
+
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprint each document, its edited text and the next document's, by ascending doc_id.
 
@@ -131,7 +152,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     the bounds come from quantiles over all ids. The first document of each
     range also goes, as a ghost, to the end of the range before, so no task
     needs another one's rows. To the driver come the bounds and the first id
-    of each range.
+    of each range (a few bytes a range).
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -140,22 +161,17 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         return spark.createDataFrame([], NEIGHBOUR_SCHEMA)
     n = max(1, math.ceil((total["b"] or 0) / RANGE_BYTES))
     bounds = sorted(set(base.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    place = F.lit(0)
-    if bounds:  # how many bounds lie at or below the id
-        place = F.expr(f"array_size(filter(array({','.join(str(int(b)) + 'L' for b in bounds)}), b -> b <= coalesce(doc_id, {-(1 << 63) + 1}L)))")
-    ranged = base.withColumn("_place", place.cast("int"))
-    heads = sorted((r["_place"], r["k"]) for r in ranged.groupBy("_place").agg(F.min(key).alias("k")).collect())
-    before = {k: heads[i - 1][0] for i, (_, k) in enumerate(heads)}  # the first range's head follows the last range
-    firsts = F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv])
-    both = (ranged.withColumn("_ghost", F.lit(False))
-            .withColumn("_places", F.array(F.struct("_place", "_ghost")))
-            .select("doc_id", "text", F.concat(
-                F.array(F.struct(F.col("_place").cast("long").alias("p"), F.lit(False).alias("g"))),
-                F.when(F.try_element_at(firsts, key).isNotNull(), F.array(F.struct(
-                    F.try_element_at(firsts, key).alias("p"), F.lit(True).alias("g")))).otherwise(
-                    F.array().cast("array<struct<p:bigint,g:boolean>>"))).alias("_at"))
-            .select("doc_id", "text", F.explode("_at").alias("_at")))
+    ranged = base.withColumn("_key", F.coalesce("doc_id", F.lit(_NO_ID)))
+    place = _lookup(spark, np.array(bounds, np.int64), None)
+    heads = sorted((r["_place"], r["k"]) for r in ranged.select("_key", place("_key").alias("_place"))
+                   .groupBy("_place").agg(F.min("_key").alias("k")).collect())
+    firsts = np.array([k for _, k in heads], np.int64)  # in the order of their ranges, so of their ids
+    goes = _lookup(spark, firsts, np.array([heads[i - 1][0] for i in range(len(heads))], np.int64))
+    spot = lambda where, ghost: F.struct(where.alias("p"), F.lit(ghost).alias("g"))
+    both = (ranged.withColumn("_place", place("_key")).withColumn("_goes", goes("_key"))
+            .select("doc_id", "text", F.explode(F.when(
+                F.col("_goes") >= 0, F.array(spot(F.col("_place"), False), spot(F.col("_goes"), True)))
+                .otherwise(F.array(spot(F.col("_place"), False)))).alias("_at")))
     dealt = (both.select(F.col("_at.p").alias("place"), F.col("_at.g").alias("ghost"), "doc_id", "text")
              .repartitionByRange(n, "place")
              .sortWithinPartitions("place", "ghost", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")))
