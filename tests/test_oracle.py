@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle (sf0.001, the driver's check in small)."""
+"""Every registered payment query against its DuckDB oracle (sf0.001, the driver's check in small)."""
 
 from __future__ import annotations
 
@@ -15,7 +15,11 @@ def con(sf_small):
     return duck(sf_small)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# the optional training-data queries have tests of their own
+REFERENCE = sorted(n for n in entry.queries() if n != "pipeline" and not n.startswith("op"))
+
+
+@pytest.mark.parametrize("name", REFERENCE)
 def test_query_matches_oracle(spark, sf_small, con, name):
     r = compare(spark, name, entry.queries()[name], SQL.get(name), sf_small, con)
     if r["ok"] is None:
