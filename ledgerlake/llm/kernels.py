@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import checkpoint_root
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -163,6 +163,22 @@ def sequence_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+#: Rows of an Arrow batch; whole documents are a few kB each, some a hundred times that.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand whole texts to Python in batches of some MB instead of some 30 MB.
+
+    A batch exists in the JVM and in the Python worker at once; the setting
+    is only ever lowered.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}
