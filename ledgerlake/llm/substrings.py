@@ -44,11 +44,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.kernels import Rolling, mix, slices
 
-GRAM = 12
+GRAM = 20
 #: Text bytes of a block, and of what a hash range serves.
 BLOCK_BYTES = 16 << 20
-#: Documents of an anchor from which on its windows go one by one.
-HOT = 4096
+#: Documents of an anchor from which on its windows go one by one (some 2 MB of fragments, SORT_BYTES).
+HOT = 30_000
 SORT_BYTES = 2 << 20
 _PLACE = np.uint64(28)  # bits for a position; the other 36 order the hashes
 _PIECE = 1 << 27
