@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import chat, decontaminate, jaccard, language, mixing, pages, pii, simhash, substrings, token_counts
-
 from ledgerlake.llm.kernels import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
