@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerlake.llm import components, decontaminate, jaccard, kernels, pages, simhash, substrings
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -100,6 +101,40 @@ def test_large_group_in_sub_blocks(spark, monkeypatch):
     assert 1 < len({c for _, _, c in want}) < 120
 
 
+def brute_rows(rows, k, threshold):
+    """The row of least (doc_id, text) of each component; rows without words only lose repeats."""
+    least: dict = {}
+    alone = set()
+    marks = [(i, text) for i, (_, text) in enumerate(rows)]  # row numbers as ids: components of rows
+    for (i, n, label) in brute_groups(marks, k, threshold):
+        d, text = rows[i]
+        if n:
+            least[label] = min(least.get(label, (low(d), text)), (low(d), text))
+        else:
+            alone.add((low(d), text))
+    return sorted([*least.values(), *alone], key=str)
+
+
+@pytest.mark.parametrize("block", [500_000, 300])
+def test_rows_of_null_and_repeated_ids_stay(spark, odd_documents, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    pick = random.Random(4)
+    other = [" ".join(f"t{i}x{j}" for j in range(40)) for i in range(12)]
+    rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
+    # an id that comes with a clean text and with a copy of another document
+    rows += [(None, other[0]), (None, other[1]), (25, other[0]), (27, other[2]), (27, other[3] + " b"), (3, other[3]),
+             (None, None), (None, ""), (None, ""), (None, "  "), (4, "")]
+    for _ in range(60):  # near copies under null and few ids
+        rows.append((pick.choice([None, None, 31, 32, 33]), pick.choice(other[4:]) + pick.choice(["", " u", " v", " w"])))
+    pick.shuffle(rows)
+    docs = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], odd_documents.schema).repartition(7)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((low(r["doc_id"]), r["text"]) for r in got.collect()), key=str)
+    assert kept == brute_rows(rows, 5, 80)
+    assert {other[0], other[1], other[2], other[3]} <= {t for _, t in kept}
+
+
 def test_no_documents_no_groups(no_documents):
     assert jaccard.near_duplicates(no_documents).count() == 0
 
