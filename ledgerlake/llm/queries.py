@@ -163,8 +163,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op10_fingerprints")
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SimHash of every whole document, of its edited text and of the next document's, and their likeness."""
-    return simhash.compare_with_next(_table(spark, sf_dir, "documents"))
+    """SimHash of every whole document, of its edited text and of the next document's, and their likeness.
+
+    Ids divisible by 50 are searched for in all rows within 6 bits.
+    """
+    return simhash.compare_and_search(_table(spark, sf_dir, "documents"))
 
 
 _OP4_SQL = r"""

@@ -10,7 +10,15 @@ within the radius agree on at least ``SPARE`` whole blocks, so a table for
 every choice of ``SPARE`` blocks, keyed by these blocks (the permuted leading
 bits), meets each such pair in at least one table. Equal fingerprints are one
 entry. Queries meet entries in equi-joins that AQE splits where they are
-skewed; a stated query set against all rows, never all pairs.
+skewed; a stated query set against all rows, never all pairs. A bitmap of the
+queries' keys (fixed size, so it only saves less in a large corpus) keeps
+entries' keys that no query has out of the shuffle.
+
+The query set are the documents whose id is divisible by ``ASK``; they are
+searched for in all rows within ``RADIUS`` of the 128 bits. ``n_near`` counts
+the other rows that are near (copies each), ``near_digest`` is the sum of the
+first 13 hex digits of the md5 of their ids (as text, null as empty). Both are
+null for documents outside the query set.
 
 Defined cases: null, empty and wordless texts have the all-zero fingerprint;
 equal texts have equal fingerprints; repeated rows and ids are ordered by
@@ -33,10 +41,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.kernels import (
-    LOWER, SLICE_BYTES, SPACE_WORDS, Rolling, column_bytes, mix, words)
+    LOWER, SLICE_BYTES, SPACE_WORDS, Rolling, column_bytes, mix, stored, words)
 
 BITS = 128
 SPARE = 2
+RADIUS = 6
+ASK = 50
+#: Bits of the bitmap of query keys, and of one row of it (fixed by Spark's bitmap functions).
+KEY_BITS = 24
+BUCKET_BITS = 15
 _NO_ID = -(1 << 63)
 #: Text bytes a task should hold, for the number of ranges.
 RANGE_BYTES = 16 << 20
@@ -191,7 +204,26 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         _batch_fingerprints, "doc_id long, fingerprint string")
 
 
-def find_near(queries: DataFrame, entries: DataFrame, radius: int = 6) -> DataFrame:
+def _occurring(keys: DataFrame):
+    """A column function: whether a key may be among ``keys`` (never false for one that is)."""
+    place = F.shiftrightunsigned("key", 64 - KEY_BITS)
+    buckets = (keys.select(F.shiftright(place, BUCKET_BITS).alias("bucket"),
+                           place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("bit"))
+               .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    bits = np.zeros((1 << (KEY_BITS - BUCKET_BITS), 1 << (BUCKET_BITS - 3)), np.uint8)
+    for r in buckets.collect():  # 2 MB in all, whatever the corpus
+        bits[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+    @F.pandas_udf("boolean")
+    def occurs(key: pd.Series) -> pd.Series:
+        at = (key.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+    return occurs
+
+
+def find_near(queries: DataFrame, entries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """All pairs (fingerprint, near, distance) of a query fingerprint and an entry within ``radius`` bits.
 
     Both sides have a column ``fingerprint``; distinct fingerprints stand for
@@ -210,9 +242,27 @@ def find_near(queries: DataFrame, entries: DataFrame, radius: int = 6) -> DataFr
                 for i, chosen in enumerate(itertools.combinations(range(n_blocks), SPARE))]
         return rows.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
 
-    q = tables(queries)
-    e = tables(entries).select(F.col("fingerprint").alias("near"), "key")
+    q = stored(tables(queries), "query-keys")
+    e = tables(entries).where(_occurring(q)("key")).select(F.col("fingerprint").alias("near"), "key")
     distance = sum((F.bit_count(F.conv(F.substring("fingerprint", i * 8 + 1, 8), 16, 10).cast("long").bitwiseXOR(
         F.conv(F.substring("near", i * 8 + 1, 8), 16, 10).cast("long"))) for i in range(digits // 8)), F.lit(0))
     return (q.join(e, "key").select("fingerprint", "near", distance.alias("distance"))
             .where(F.col("distance") <= radius).distinct())
+
+
+def compare_and_search(docs: DataFrame) -> DataFrame:
+    """``compare_with_next``, and for each document of the query set the near ones among all rows."""
+    found = stored(compare_with_next(docs), "fingerprints")
+    asks = F.coalesce(F.col("doc_id") % ASK == 0, F.lit(False))
+    value = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 13),
+                   16, 10).cast("decimal(20,0)")
+    asked = found.where(asks)
+    members = found.groupBy(F.col("fingerprint").alias("near")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(value).alias("v"))
+    near = (find_near(asked, found, RADIUS).join(members, "near").groupBy("fingerprint")
+            .agg(F.sum("n").alias("n"), F.sum("v").alias("v")))
+    answered = asked.join(near, "fingerprint").select(
+        *found.columns, (F.col("n") - 1).alias("n_near"),
+        (F.col("v") - value).cast("decimal(38,0)").cast("string").alias("near_digest"))
+    return answered.unionByName(found.where(~asks).select(
+        "*", F.lit(None).cast("long").alias("n_near"), F.lit(None).cast("string").alias("near_digest")))

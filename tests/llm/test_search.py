@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlake.llm import components, decontaminate, jaccard, kernels, pages, simhash, substrings
+from ledgerlake.llm import components, decontaminate, jaccard, kernels, pages, queries, simhash, substrings
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LOWEST = -(1 << 63)
@@ -259,6 +259,24 @@ def test_search_finds_all_within_radius(spark):
     assert got == want
 
 
+def test_fingerprint_query_searches_all_rows(spark, no_documents, tmp_path):
+    pick = random.Random(6)
+    base = " ".join(f"w{pick.randint(0, 300)}" for _ in range(4000))
+    texts = [base, base + " one", base + "".join(f" y{j}" for j in range(80)), "else " * 50, None, ""]
+    rows = [(pick.choice([None, 50, i * 10, i * 25, i]), pick.choice(texts)) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op10_fingerprints"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    marks = [(r["doc_id"], int(r["fingerprint"], 16)) for r in got]
+    value = lambda d: int(hashlib.md5(("" if d is None else str(d)).encode()).hexdigest()[:13], 16)
+    for i, r in enumerate(got):
+        near = [d for j, (d, m) in enumerate(marks) if j != i and (m ^ marks[i][1]).bit_count() <= 6]
+        want = (len(near), str(sum(map(value, near)))) if r["doc_id"] is not None and r["doc_id"] % 50 == 0 else (None, None)
+        assert (r["n_near"], r["near_digest"]) == want
+    assert any(r["n_near"] for r in got) and len({m for _, m in marks}) > 3
+    assert simhash.compare_and_search(no_documents).count() == 0
+
+
 def test_near_copies_have_near_fingerprints(spark):
     rows = near_copies(20) + [(999, "nothing " + " ".join(f"z{i}" for i in range(150)))]
     got = {r["doc_id"]: int(r["fingerprint"], 16) for r in simhash.fingerprint(
