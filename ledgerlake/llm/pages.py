@@ -2,8 +2,10 @@
 
 A page is cut into lines, one a block element. Each line is *boilerplate* (in
 a menu, header, footer, sidebar, form, advert, notice or comment element or
-one whose class, id or role says so), *article* (in ``article`` or ``main``)
-or *open*. Pages of a host are put in order of their URL paths, each is paired
+one whose class, id or role says so), *article* (in ``article`` or ``main``,
+but not in an ``article`` that is itself boilerplate or inside of it, as
+comments and cards are) or *open*. Omitted end tags of paragraphs, list items
+and table parts are implied at the next sibling. Pages of a host are put in order of their URL paths, each is paired
 with its nearest neighbour in that order (the longer common path; the one
 before at a tie), and the two lists of lines are aligned by their longest
 common subsequence. Lines of the page in that subsequence are shared.
@@ -70,21 +72,45 @@ _TAG = re.compile(
     r"|<[!?][^>]*+(?:>|\Z)|</?[A-Za-z][^>]*+\Z|</[^>]*+>", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*+(?:=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
 _WORD = re.compile(r"[a-z0-9]+")
-
-OPEN, BOILERPLATE, ARTICLE = 0, 1, 2
+#: An unquoted value at the end, to which a slash belongs.
+_BARE_VALUE = re.compile(r"=\s*+[^\s\"'>/][^\s\"'>]*\Z")
+
+#: Elements whose start ends an open paragraph.
+END_PARAGRAPH = BLOCKS - frozenset("body caption head html legend tbody td tfoot th thead tr".split())
+_CELLS, _SECTIONS = frozenset(("td", "th")), frozenset(("tr", "tbody", "thead", "tfoot"))
+#: Of an element, the siblings whose end its start implies, and the elements that this does not reach over.
+_ITEM_STOPS = BLOCKS - frozenset(("address", "div", "p"))
+IMPLIED_ENDS = {
+    "li": (frozenset(("li",)), _ITEM_STOPS - {"li"}),
+    **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), _ITEM_STOPS - {"dt", "dd"})),
+    **dict.fromkeys(_CELLS, (_CELLS, frozenset(("tr", "table")))),
+    "tr": (frozenset(("tr",)), frozenset(("table",))),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (_SECTIONS, frozenset(("table",)))),
+}
+_PARAGRAPH = (frozenset(("p",)), frozenset("table td th caption button".split()))
+
+#: FORM is boilerplate too, unless an article opens in it (some sites wrap whole pages in a form).
+OPEN, BOILERPLATE, ARTICLE, FORM = 0, 1, 2, 3
 
 
 def _mark(name: str, attributes: str, now: int) -> int:
     """The mark inside an element that starts under mark ``now``."""
-    if name in ("article", "main"):
-        return ARTICLE
-    if now == BOILERPLATE or name in DROP or (name in DROP_OUTSIDE and now != ARTICLE):
+    article = name in ("article", "main")
+    # a page has one main, which no part of boilerplate holds; articles may also be comments or cards
+    if now == BOILERPLATE and name != "main":
+        return BOILERPLATE
+    if name == "form" and now in (OPEN, FORM):
+        return FORM
+    if name in DROP or (name in DROP_OUTSIDE and now != ARTICLE):
         return BOILERPLATE
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                found = set(_WORD.findall(value))
+                if name in ("html", "body"):
+                    continue  # says what the page has, not what it is
+                # an article's names may hold its topic or state (tag-social, no-comments): whole names only
+                found = set(value.split() if article else _WORD.findall(value))
                 if found & DROP_WORDS or (now != ARTICLE and found & DROP_OUTSIDE):
                     return BOILERPLATE
             elif key == "role":
@@ -95,7 +121,7 @@ def _mark(name: str, attributes: str, now: int) -> int:
             elif (key == "hidden" and value != "until-found") or (key == "aria-hidden" and value == "true") \
                     or (key == "style" and "display:none" in value.replace(" ", "")):
                 return BOILERPLATE
-    return now
+    return ARTICLE if article else now
 
 
 def lines(page: str) -> list[tuple[str, int]]:
@@ -112,6 +138,23 @@ def lines(page: str) -> list[tuple[str, int]]:
         if text:
             out.append((text, now))
 
+    def imply_end(ends: frozenset[str], stops: frozenset[str]) -> None:
+        """Leave the outermost open element of ``ends`` that is not beyond one of ``stops``."""
+        nonlocal now
+        if not any(depth.get(e) for e in ends):
+            return
+        to = None
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in ends:
+                to = i
+            elif stack[i][0] in stops:
+                break
+        if to is not None:
+            now = stack[to][1]
+            for opened, _ in stack[to:]:
+                depth[opened] -= 1
+            del stack[to:]
+
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
@@ -124,6 +167,8 @@ def lines(page: str) -> list[tuple[str, int]]:
             continue
         closing = bool(m.group(1) or m.group(4))
         attributes = m.group(3) or m.group(6) or ""
+        if name in ("svg", "math") and attributes.endswith("/") and not _BARE_VALUE.search(attributes):
+            continue
         if name in RAW and not closing:
             ended = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             at = ended.start() if ended else n
@@ -133,6 +178,11 @@ def lines(page: str) -> list[tuple[str, int]]:
             continue
         if name in BLOCKS:
             end_line()
+        if not closing:
+            if name in END_PARAGRAPH:
+                imply_end(*_PARAGRAPH)
+            if name in IMPLIED_ENDS:
+                imply_end(*IMPLIED_ENDS[name])
         if name in VOID:
             continue
         if closing:

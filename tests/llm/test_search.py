@@ -317,6 +317,26 @@ def test_marked_pages():
     assert pages.lines("") == [] and pages.lines("<article><p>cut sho") == [("cut sho", pages.ARTICLE)]
 
 
+def test_comments_self_closing_and_omitted_end_tags():
+    def kept(page):
+        own = pages.lines(page)
+        marked = [t for t, m in own if m == pages.ARTICLE]
+        return marked or [t for t, m in own if m == pages.OPEN]
+    comment = "<div class=post>text</div><section id=comments><article class=comment>nice</article></section>"
+    assert kept(comment) == ["text"] and kept("<div>text</div><article class='comment odd'>nice</article>") == ["text"]
+    assert kept("<section class=related><article class=card>x</article></section><article>text</article>") == ["text"]
+    assert kept('<p>a<svg width="1"/>b<p>c<math />d<svg><path/>no</svg>e') == ["ab", "cde"] == kept('<p>a<svg/>b<p>c<math/>de')
+    assert kept("<p class=ad>x<p>text<p>more") == ["text", "more"] == kept("<p class=ad>x<div>text</div><p>more</p>")
+    assert kept("<ul><li class=ad>x<li>text<ul><li>more</ul></ul>") == ["text", "more"]
+    assert kept("<ul><li class=ad>x<ul><li>y</ul>z<li>text</ul>") == ["text"]
+    assert kept("<dl><dt class=ad>x<dd>text<dt>more</dl>") == ["text", "more"]
+    assert kept("<table><tr class=ad><td>x<tr><td class=ad>y<td>text<table><tr><td>more</table></table>") == ["text", "more"]
+    # what the page has, its topic or its state does not make it boilerplate
+    assert kept("<body class='has-sidebar'><article class='post tag-social'>text</article>") == ["text"]
+    assert kept("<form id=page><article>text</article><p>f</form>") == ["text"]
+    assert kept("<div class=with-sidebar><main>text</main></div>") == ["text"]
+
+
 def test_differencing_of_unmarked_pages(spark):
     frame = "<div>Site name</div><div>Menu</div>{}<div>About us</div>"
     rows = [(i, f"http://h.example/{i:03d}?q={i}", frame.format(f"<p>text {i}</p><p>more {i}</p>")) for i in range(60)]
