@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, decontaminate, jaccard, language, mixing, pages, pii, simhash, substrings, token_counts
+from ledgerlake.llm import (
+    chat, decontaminate, jaccard, language, licences, mixing, pages, periods, pii, simhash, substrings, token_counts)
 from ledgerlake.llm.kernels import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +205,46 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page: marked articles, else what nearest-URL differencing leaves."""
     return pages.extract(_table(spark, sf_dir, "pages"))
+
+
+@_register("op11_license_scan")
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, identifier tags and expressions in every whole document."""
+    rows = licences.scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("findings", lambda f: f["kind"] == "base")
+    places = F.transform(base, lambda f: f["word"])
+    return rows.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda f: f["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score", "permitted",
+        F.array_join(F.transform("expressions", lambda e: e["text"]), "\n").alias("expressions"))
+
+
+def _with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every tenth document by crc32, the words from a point on repeat a stretch of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    split = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, F.filter(
+        F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).alias("words"))
+    counted = split.withColumn("n", F.size("words"))
+    cut = (counted.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+           .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    new = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(new, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every whole document, with repeats planted in every tenth."""
+    docs = _with_planted_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = periods.collapse_runs(docs, keep=["doc_id"]).withColumn("best", periods.longest(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
