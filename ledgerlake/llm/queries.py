@@ -5,11 +5,12 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
-    chat, decontaminate, jaccard, language, licences, mixing, pages, periods, pii, simhash, substrings, token_counts)
+    chat, decontaminate, jaccard, language, licences, mixing, pages, periods, pii, simhash, substrings, token_counts,
+    trie)
 from ledgerlake.llm.kernels import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -248,3 +249,55 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("best.length").alias("length"), F.col("best.period").alias("period"),
         F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+_OP12_SQL = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, z:
+                          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS g(i))),
+o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations),
+cv AS (
+  SELECT c, c - c % 100 AS b, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(c AS VARCHAR), i, 1))::BIGINT)),
+           lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT c, count(*) AS n FROM o GROUP BY c), crc),
+r AS (
+  SELECT cv.c, o.i AS d, o.role, o.text FROM cv JOIN o ON o.c = cv.b AND o.i <= cv.h
+  UNION ALL
+  SELECT cv.c, o.i - cv.h + least(cv.h, coalesce(base.n, 0)), o.role, o.text
+  FROM cv JOIN o ON o.c = cv.c AND o.i > cv.h LEFT JOIN cv AS base ON base.c = cv.b),
+m AS (
+  SELECT c, d, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY c ORDER BY d)) AS k,
+         length(text) AS chars FROM r
+  UNION ALL SELECT c, 0, '', 0 FROM cv),
+e AS (SELECT c, max(d) AS last FROM m GROUP BY c),
+n AS (SELECT d, k, min(c) AS rep, count(*) AS n_convs, any_value(chars) AS chars FROM m GROUP BY d, k),
+pairs AS (SELECT DISTINCT u.d, u.k, v.d AS vd, v.k AS vk FROM m AS u JOIN m AS v ON u.c = v.c AND v.d >= u.d),
+kids AS (SELECT d, k, count(*) AS n_children FROM pairs WHERE vd = d + 1 GROUP BY d, k),
+sub AS (
+  SELECT p.d, p.k, sum((n.n_convs - 1) * n.chars) AS saved, count(*) FILTER (kids.k IS NULL) AS n_leaves
+  FROM pairs AS p JOIN n ON n.d = p.vd AND n.k = p.vk LEFT JOIN kids ON kids.d = p.vd AND kids.k = p.vk GROUP BY p.d, p.k),
+ends AS (SELECT m.d, m.k, string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) AS ids
+         FROM m JOIN e ON e.c = m.c AND e.last = m.d GROUP BY m.d, m.k),
+up AS (SELECT v.d, v.k, any_value(n.rep) AS parent FROM m AS v JOIN m AS u ON u.c = v.c AND u.d = v.d - 1
+       JOIN n ON n.d = u.d AND n.k = u.k GROUP BY v.d, v.k)
+SELECT n.rep AS conv_id, n.d AS depth, up.parent AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN sub USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN ends USING (d, k) LEFT JOIN up USING (d, k)
+"""
+
+
+@_register("op12_prefix_trie", _OP12_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each one rebuilt upon the first turns of its hundred's first."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    h = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 6
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy(
+        F.asc_nulls_first("turn"), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))))
+    heads = turns.where("conv_id % 100 = 0").withColumn("nth", nth).where("nth <= 5").withColumnRenamed("conv_id", "head")
+    convs = turns.select("conv_id").distinct()
+    borrowed = convs.withColumn("head", F.expr("conv_id - conv_id % 100")).join(heads, "head").where(F.col("nth") <= h)
+    return trie.prefix_trie(turns, borrowed, skip=h)
