@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.normalise import payload_field
+from ledgerlake.functions.normalise import payload_field, payload_variant, variant_field
 from ledgerlake.operators import dedup, lifecycle, reports, upsert, validate
 from ledgerlake.operators.history import history_rows
 from ledgerlake.plans import stages
@@ -72,6 +72,28 @@ def b4_payload_fields(spark, sf_dir):
                     payload_field(p, "amount").cast("double").alias("payload_amount"))
 
 
+@register("b4_variant_payload", with_events("""
+SELECT event_id AS log_event_id, NOT (event_id LIKE '%1' OR event_id LIKE '%2') AS is_json,
+       CASE WHEN NOT regexp_matches(event_id, '[0-3]$') THEN payload_event_id END AS payload_event_id,
+       CASE WHEN NOT regexp_matches(event_id, '[0-3]$') THEN payload_failure_code END AS payload_failure_code,
+       CASE WHEN NOT regexp_matches(event_id, '[0-3]$') THEN payload_amount END AS payload_amount
+FROM t_payment_status_history""", dedup=True, extra=all_tables_ctes()))
+def b4_variant_payload(spark, sf_dir):
+    """B3 + B4 + C10 on VARIANT: payloads of any kind (a list, a number, two kinds of broken text)
+    kept parsed in a written table; fields are read from the parsed value."""
+    h = stages.status_history(_ev(spark, sf_dir))
+    last = F.substring("event_id", -1, 1)
+    other = F.create_map(*[F.lit(x) for x in ("0", "[1]", "1", "{", "2", '{"event_id": 1} x', "3", "3")])
+    payload = F.coalesce(F.try_element_at(other, last), F.col("payload"))
+    path = f"{work_dir(spark, 'b4')}/log"
+    h.select(F.col("event_id").alias("log_event_id"), payload_variant(payload).alias("payload")).write.parquet(path)
+    v = F.col("payload")
+    return spark.read.parquet(path).select(
+        "log_event_id", v.isNotNull().alias("is_json"), variant_field(v, "event_id").alias("payload_event_id"),
+        variant_field(v, "failure_code").alias("payload_failure_code"),
+        variant_field(v, "amount", "double").alias("payload_amount"))
+
+
 @register("b7_log_ids", with_events(
     "SELECT event_id AS log_event_id, transaction_id, event_type FROM t_payment_status_history",
     dedup=True, extra=all_tables_ctes()))

@@ -31,7 +31,7 @@ TABLE_ORDER = ["users", "merchants", "payment_intents", "charges", "refunds", "c
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the table is one small file: deal it over the cores before the per-row work
+    # a table of one small file is dealt over the cores before the per-row work
     return payment_events(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
 
 
