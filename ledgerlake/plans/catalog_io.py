@@ -24,6 +24,7 @@ from ledgerlake.schemas import TABLES, UUID_PATTERN
 from ledgerlake.session import work_dir
 from ledgerlake.sources import events as src
 from ledgerlake.streaming import jobs
+from ledgerlake.streaming.keyed import read_metrics
 from ledgerlake.streaming.store import FoldedStore, unprocessed
 
 SEQ = "ingestion_timestamp, ord, copy_no, event_id"
@@ -543,6 +544,18 @@ def c12_broken_tables(spark, sf_dir):
     return validate.constraint_report(_broken(tables))
 
 
+@register("c12_batched_report", with_events(_report_sql("x_"), dedup=True, extra=_broken_sql()))
+def c12_batched_report(spark, sf_dir):
+    """C5-C10 + C12 kept up over three batches of rows of all tables in random order: children come
+    before their parents, keys repeat across batches."""
+    root = work_dir(spark, "c12b")
+    tables = _broken(stages.materialise_tables(spark, _ev(spark, sf_dir), root))
+    for i in range(3):
+        part = {name: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == i) for name, df in tables.items()}
+        jobs.apply_rule_facts(part, f"{root}/report", i)
+    return jobs.read_constraint_report(spark, f"{root}/report", {name: df.columns for name, df in tables.items()})
+
+
 @register("c1_events_of_a_month", with_events("""
 SELECT event_type, count(*) AS n, min(event_timestamp) AS first_event FROM t_payment_status_history
 WHERE event_timestamp >= TIMESTAMP '1996-03-01' AND event_timestamp < TIMESTAMP '1996-04-01'
@@ -670,6 +683,134 @@ def st7_stream_lifecycle(spark, sf_dir):
     return jobs.read_lifecycle(spark, f"{root}/out")
 
 
+_WAIT_HOURS = 1
+
+
+@register("jn1_stream_join", with_events(f"""
+SELECT 'matched' AS output, transaction_id, auth_event_id, capture_event_id, NULL::INTEGER AS copy_no, charge_id,
+       date_diff('second', authorized_at, captured_at) AS seconds_to_capture
+FROM (
+  SELECT transaction_id, first(a_event ORDER BY a_time, a_ord, a_copy, a_event) AS auth_event_id,
+         first(a_time ORDER BY a_time, a_ord, a_copy, a_event) AS authorized_at,
+         min((a_time, a_ord, a_copy, a_event)) AS a_seq,
+         first(c_event ORDER BY c_time, c_ord, c_copy, c_event) AS capture_event_id,
+         first(charge_id ORDER BY c_time, c_ord, c_copy, c_event) AS charge_id,
+         first(c_time ORDER BY c_time, c_ord, c_copy, c_event) AS captured_at,
+         min((c_time, c_ord, c_copy, c_event)) AS c_seq
+  FROM pairs GROUP BY transaction_id) WHERE c_seq > a_seq
+UNION ALL
+SELECT 'unmatched', transaction_id, NULL, event_id, copy_no, NULL, NULL FROM caps c
+WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.c_event = c.event_id AND p.c_copy = c.copy_no)""", extra=f"""
+arr AS (SELECT *, {_CHUNK} AS chunk FROM ev WHERE order_key % 19 <> 0 OR event_type <> 'payment_intent_authorized'),
+auths AS (SELECT * FROM arr WHERE event_type = 'payment_intent_authorized'),
+caps AS (SELECT * FROM arr WHERE event_type = 'capture_succeeded'),
+pairs AS (
+  SELECT c.transaction_id, a.event_id AS a_event, a.ingestion_timestamp AS a_time, a.ord AS a_ord, a.copy_no AS a_copy,
+         c.event_id AS c_event, c.ingestion_timestamp AS c_time, c.ord AS c_ord, c.copy_no AS c_copy, c.charge_id
+  FROM caps c JOIN auths a ON a.transaction_id = c.transaction_id AND abs(a.chunk - c.chunk) <= {_WAIT_HOURS})"""))
+def jn1_stream_join(spark, sf_dir):
+    """JN1 over two streams of out-of-order files: pairs that arrive within the wait are joined, captures
+    without an authorisation (or with one that comes too late) reach an output of their own."""
+    root = work_dir(spark, "jn1s")
+    digest = F.md5(F.concat("event_id", F.col("copy_no").cast("string")))
+    evs = _ev(spark, sf_dir).where((F.col("order_key") % 19 != 0) | (F.col("event_type") != "payment_intent_authorized"))
+    year = F.year("ingestion_timestamp")
+    chunk = F.when(digest.startswith("a"), 3).when(year < 1997, 0).when(year < 1999, 1).otherwise(2)
+    auths, captures = arriving_files(evs.withColumn("chunk", chunk), root, 4)
+    jobs.start_capture_join_stream(auths, captures, f"{root}/out", f"{root}/ckpt", f"{_WAIT_HOURS} HOURS").awaitTermination()
+    links, left = jobs.read_capture_links(spark, f"{root}/out")
+    none = lambda kind: F.lit(None).cast(kind)
+    return links.select(F.lit("matched").alias("output"), "transaction_id", "auth_event_id", "capture_event_id",
+                        none("int").alias("copy_no"), "charge_id", "seconds_to_capture").unionByName(
+        left.select(F.lit("unmatched").alias("output"), "transaction_id", none("string").alias("auth_event_id"),
+                    "capture_event_id", "copy_no", none("string").alias("charge_id"), none("long").alias("seconds_to_capture")))
+
+
+def arriving_files(events: DataFrame, root: str, n_chunks: int) -> tuple[DataFrame, DataFrame]:
+    """Authorisations and captures as two streams of files, a chunk an hour, and a heartbeat behind the last."""
+    spark = events.sparkSession
+    columns = ["transaction_id", "event_id", "charge_id", "ingestion_timestamp", "ord", "copy_no"]
+    hour = lambda i: F.lit("2000-01-01").cast("timestamp") + F.make_dt_interval(hours=F.lit(i))
+    staged = stages.materialise_events(events.select(*columns, "event_type", "chunk"), f"{root}/staged")
+    streams = []
+    for event_type in ("payment_intent_authorized", "capture_succeeded"):
+        path = f"{root}/{event_type}"
+        for i in range(n_chunks):
+            rows = staged.where((F.col("event_type") == event_type) & (F.col("chunk") == i))
+            rows.select(*columns, hour(i).alias("arrived_at")).repartition(2).write.mode("append").parquet(path)
+        beat = spark.range(2).select(*[F.lit(jobs.HEARTBEAT if c == "transaction_id" else None).cast(dict(staged.dtypes)[c])
+                                       .alias(c) for c in columns], hour(1000).alias("arrived_at")).repartition(2)
+        beat.write.mode("append").parquet(path)
+        schema = spark.read.parquet(path).schema
+        streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", "2").parquet(path))
+    return streams[0], streams[1]
+
+
+@register("st5_keyed_deletes", with_events(
+    f"SELECT {_CHANGE_COLS} FROM t_payment_status_history "
+    "WHERE event_type <> 'chargeback_received' OR event_id LIKE '%0'", dedup=True, extra=all_tables_ctes()))
+def st5_keyed_deletes(spark, sf_dir):
+    """ST5: tombstones as deletes: the log without its chargebacks, but for those written again afterwards."""
+    history = stages.status_history(_ev(spark, sf_dir))
+    rows = made.to_change_messages(history).withColumn("key", F.get_json_object("value", "$.event_id"))
+    gone = rows.where(F.get_json_object("value", "$.event_type") == "chargeback_received")
+    feed = rows.select("key", "value", F.lit(1).alias("offset")).unionByName(
+        gone.select("key", F.lit(None).cast("string").alias("value"), F.lit(2).alias("offset"))).unionByName(
+        gone.where(F.col("key").endswith("0")).select("key", "value", F.lit(3).alias("offset")))
+    return src.read_change_feed(src.latest_changes(feed)).select(*_CHANGE_COLS.split(", "))
+
+
+@register("c1_lookup_by_entity", with_events("""
+SELECT 'charge_8' AS asked, transaction_id, event_type, status FROM t_payment_status_history WHERE charge_id = 'charge_8'
+UNION ALL SELECT 'intent_8', transaction_id, event_type, status FROM t_payment_status_history WHERE intent_id = 'intent_8'
+UNION ALL SELECT 'txn_8', transaction_id, event_type, status FROM t_payment_status_history WHERE transaction_id = 'txn_8'
+""", dedup=True, extra=all_tables_ctes()))
+def c1_lookup_by_entity(spark, sf_dir):
+    """Rows by charge, intent and transaction from the log with Parquet Bloom filters on its ids."""
+    path = jobs.write_status_log(stages.status_history(_ev(spark, sf_dir)), f"{work_dir(spark, 'c1b')}/log", by="ids")
+    log = spark.read.parquet(path)
+    asked = [("charge_id", "charge_8"), ("intent_id", "intent_8"), ("transaction_id", "txn_8")]
+    return reports.bag_union(*[log.where(F.col(c) == v).select(
+        F.lit(v).alias("asked"), "transaction_id", "event_type", "status") for c, v in asked])
+
+
+@register("d5_sketched_reuse", with_events("""
+SELECT id_column, n, true AS within_error FROM (
+  SELECT 'transaction_id' AS id_column, count(transaction_id) AS n FROM ev UNION ALL
+  SELECT 'idempotency_key', count(idempotency_key) FROM ev UNION ALL
+  SELECT 'intent_id', count(intent_id) FROM ev UNION ALL SELECT 'event_id', count(event_id) FROM ev)"""))
+def d5_sketched_reuse(spark, sf_dir):
+    """D5's first look: sketches of two batches merged, within their stated error of the exact counts."""
+    evs = _ev(spark, sf_dir)
+    sketches = dedup.id_sketches(_before(evs)).unionAll(dedup.id_sketches(_from(evs)))
+    exact = dedup.key_collisions(evs).select("id_column", "reused")
+    look = dedup.sketched_reuse(sketches).join(exact, "id_column")
+    distinct = F.col("n") - F.col("reused")
+    return look.select("id_column", "n", (F.abs(F.col("distinct_estimate") - distinct)
+                                          <= dedup.SKETCH_ERROR * distinct).alias("within_error"))
+
+
+@register("f2_stream_transitions", with_events(f"""
+SELECT transition, count(*) AS n FROM (
+  SELECT coalesce(lag(status) OVER (PARTITION BY transaction_id ORDER BY {_SEQ0}), 'START')
+         || ' -> ' || status AS transition FROM ev) GROUP BY transition""", changes=_NO_TIME))
+def f2_stream_transitions(spark, sf_dir):
+    """F2 + G1 kept up over a stream: late deliveries fall between earlier ones and replace transitions."""
+    root, stream = _stream_input(spark, sf_dir, "f2")
+    jobs.start_transition_stream(stream, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return jobs.read_transitions(spark, f"{root}/out")
+
+
+@register("f4_stream_metrics", with_events("""
+SELECT count(*) AS attempted, count(DISTINCT (transaction_id, idempotency_key, event_type)) AS applied,
+       count(*) - count(DISTINCT (transaction_id, idempotency_key, event_type)) AS no_ops FROM ev"""))
+def f4_stream_metrics(spark, sf_dir):
+    """attempted and applied counts observed by the writes of a stream, with no job of their own."""
+    root, stream = _stream_input(spark, sf_dir, "f4")
+    jobs.start_dedup_stream(stream, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return read_metrics(spark, f"{root}/out")
+
+
 @register("st2_stream_late_split", with_events(f"""
 SELECT CASE WHEN {_LAG} > 86400 THEN 'late' ELSE 'on_time' END AS output, event_type,
        count(*) AS n FROM ev GROUP BY 1, 2""", changes=_NO_TIME))

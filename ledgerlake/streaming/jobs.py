@@ -10,7 +10,7 @@ What would be streaming state is a fold over the batches' folders instead.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.functions.normalise import arrival_seq, normalise_events, stable_uuid
 from ledgerlake.operators.dedup import dedup_history, dedup_raw
 from ledgerlake.operators.history import HISTORY_INPUTS, history_rows
+from ledgerlake.operators import validate
 from ledgerlake.operators.lifecycle import split_late
+from ledgerlake.operators.reports import transition_counts
 from ledgerlake.schemas import ARRIVAL_ORDER, K2, K3, RAW_EVENT_SCHEMA
 from ledgerlake.sources.events import parse_event_messages, read_change_feed
-from ledgerlake.streaming.store import FoldedStore, append_absent, write_tables
+from ledgerlake.streaming.keyed import KeyedLog
+from ledgerlake.streaming.store import FoldedStore, read_or_none, write_tables
 
 
 # --- inputs ------------------------------------------------------------------------
@@ -49,10 +52,14 @@ def start_dedup_stream(events: DataFrame, path: str, checkpoint: str, available_
 
     A batch is folded to one row per K3 (partial aggregation first, so a
     storm of copies shrinks map-side) and only keys that no earlier batch wrote
-    are appended; of the log just its key columns are read.
+    are appended; of the log only folders that may hold one of the batch's
+    keys are read (:class:`KeyedLog`).
     """
+    def fold(batch: DataFrame) -> DataFrame:
+        return dedup_history(batch, columns=columns).select(*K3, *columns)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        append_absent(dedup_history(batch, columns=columns).select(*K3, *columns), path, batch_id, K3)
+        KeyedLog(batch.sparkSession, path, K3, fold(batch).schema).append_absent(batch, fold, batch_id)
 
     return _start(events, sink, checkpoint, available_now)
 
@@ -99,6 +106,131 @@ def read_lifecycle(spark: SparkSession, path: str) -> DataFrame:
         F.sum("deliveries").alias("deliveries"))
 
 
+# --- JN1 as a stream ------------------------------------------------------------------------
+#: Transaction of a heartbeat row: it only moves the watermark on.
+HEARTBEAT = ""
+
+
+def start_capture_join_stream(authorisations: DataFrame, captures: DataFrame, path: str, checkpoint: str, wait: str,
+                              arrived: str = "arrived_at", delay: str = "0 seconds", available_now: bool = True,
+                              order: Sequence[str] = ARRIVAL_ORDER) -> StreamingQuery:
+    """JN1 over two streams: an interval join with a watermark on each side.
+
+    The watermarks run on ``arrived``, the time at which the feed took a
+    message (a topic's append time), not on event or ingestion time: these come
+    in any order and may be unreadable, the arrival only as far behind as
+    ``delay`` says, so no delivery is dropped as late. A capture waits for
+    an authorisation that arrives at most ``wait`` before or after it; joined
+    pairs are written under ``_table=matched``, captures whose time is over
+    under ``_table=unmatched``. State is bounded by ``wait``. A heartbeat on
+    both streams closes a feed that ends.
+    """
+    def side(events: DataFrame, tag: str) -> DataFrame:
+        columns = ["transaction_id", "event_id", "charge_id", "ingestion_timestamp", arrived]
+        return events.withWatermark(arrived, delay).select(
+            *[F.col(c).alias(f"{tag}_{c}") for c in columns], arrival_seq(order).alias(f"{tag}_seq"))
+
+    span = F.expr(f"INTERVAL {wait}")
+    joined = side(captures, "c").join(
+        side(authorisations, "a"),
+        (F.col("c_transaction_id") == F.col("a_transaction_id"))
+        & (F.col(f"a_{arrived}") >= F.col(f"c_{arrived}") - span) & (F.col(f"a_{arrived}") <= F.col(f"c_{arrived}") + span),
+        "left_outer")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(F.col("c_transaction_id") != HEARTBEAT).withColumn(
+            "_table", F.when(F.col("a_transaction_id").isNull(), "unmatched").otherwise("matched"))
+        rows.write.mode("overwrite").partitionBy("_table").parquet(f"{path}/batch={batch_id}")
+
+    return _start(joined, sink, checkpoint, available_now)
+
+
+def read_capture_links(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(links, unmatched): :func:`lifecycle.capture_with_authorisation` over the joined pairs, and captures left alone."""
+    rows = spark.read.parquet(path)
+    first = (rows.where("_table = 'matched'").groupBy(F.col("c_transaction_id").alias("transaction_id")).agg(
+        F.min_by(F.struct(F.col("a_event_id").alias("auth_event_id"), F.col("a_ingestion_timestamp").alias("authorized_at")),
+                 F.col("a_seq")).alias("a"), F.min("a_seq").alias("a_seq"),
+        F.min_by(F.struct(F.col("c_event_id").alias("capture_event_id"), F.col("c_charge_id").alias("charge_id"),
+                          F.col("c_ingestion_timestamp").alias("captured_at")), F.col("c_seq")).alias("c"),
+        F.min("c_seq").alias("c_seq")))
+    links = first.where("c_seq > a_seq").select(
+        "transaction_id", "a.auth_event_id", "c.capture_event_id", "c.charge_id", "a.authorized_at", "c.captured_at",
+        (F.col("c.captured_at").cast("long") - F.col("a.authorized_at").cast("long")).alias("seconds_to_capture"))
+    left = rows.where("_table = 'unmatched'").select(
+        F.col("c_transaction_id").alias("transaction_id"), F.col("c_event_id").alias("capture_event_id"), "c_seq.copy_no")
+    return links, left
+
+
+# --- F2 / G1 kept up over batches ----------------------------------------------------------
+def apply_transitions(batch: DataFrame, path: str, batch_id: int, order: Sequence[str] = ARRIVAL_ORDER) -> None:
+    """F2 as a running sum: what one batch of deliveries changes in the transition counts.
+
+    Deliveries come in any order. One that falls between two earlier ones takes
+    their transition away and adds two, so the change of a batch is the counts
+    over its transactions with it, less those without it. Only the earlier
+    deliveries of its own transactions are read, from folders that may hold
+    them; the change is one row a transition. Copies and hot transactions are
+    handled as in :func:`reports.transition_counts`.
+    """
+    rows = batch.select("transaction_id", "status", *order)
+    log = KeyedLog(batch.sparkSession, f"{path}/deliveries", ["transaction_id"], rows.schema)
+    log.write(rows, batch_id)
+    new = log.batch(batch_id)
+    old = log.holding(new, batch_id).drop("batch")
+    counts = lambda df, sign: transition_counts(df, order).select(
+        "transition", (F.lit(sign) * F.col("n")).alias("n"))
+    change = counts(old.unionByName(new), 1).unionAll(counts(old, -1)).groupBy("transition").agg(F.sum("n").alias("n"))
+    change.where("n <> 0").write.mode("overwrite").parquet(f"{path}/changes/of={batch_id}")
+
+
+def start_transition_stream(events: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """F2 / G1 over a live stream; read the counts with :func:`read_transitions`."""
+    return _start(events, lambda batch, batch_id: apply_transitions(batch, path, batch_id), checkpoint, available_now)
+
+
+def read_transitions(spark: SparkSession, path: str) -> DataFrame:
+    """(transition, n) over all deliveries so far."""
+    changes = read_or_none(spark, f"{path}/changes/of=*")
+    if changes is None:
+        changes = spark.createDataFrame([], "transition string, n long")
+    return changes.groupBy("transition").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+# --- C5-C10 / C12 kept up over batches -----------------------------------------------------
+def apply_rule_facts(tables: Mapping[str, DataFrame], path: str, batch_id: int) -> None:
+    """C12 as a running sum: what one batch of table rows changes in the constraint report.
+
+    A batch says (rule, key, children, parent); earlier batches' facts on the
+    same keys are read from folders that may hold them, and the change is the
+    violations with the batch less those without it. So a reference whose
+    parent comes later stops being an orphan, and a key written twice counts
+    from its second row, in any order of batches. Row rules have no key
+    and simply add up.
+    """
+    facts, rules = validate.rule_facts(tables)
+    log = KeyedLog(facts.sparkSession, f"{path}/facts", ["rule", "key"], facts.schema)
+    log.write(facts, batch_id)
+    new = log.batch(batch_id)
+    old = log.holding(new.where("key is not null"), batch_id).drop("batch")
+    rows = new.where("key is null")
+    change = lambda df, sign: validate.rule_violations(df, rules).select(
+        "rule", (F.lit(sign) * F.col("violations")).alias("violations"))
+    keyed = new.where("key is not null")
+    total = change(rows, 1).unionAll(change(old.unionByName(keyed), 1)).unionAll(change(old, -1))
+    (total.groupBy("rule").agg(F.sum("violations").alias("violations")).where("violations <> 0")
+     .write.mode("overwrite").parquet(f"{path}/changes/of={batch_id}"))
+
+
+def read_constraint_report(spark: SparkSession, path: str, tables: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The report over all batches so far; ``tables`` gives each table's columns."""
+    changes = read_or_none(spark, f"{path}/changes/of=*")
+    if changes is None:
+        changes = spark.createDataFrame([], "rule string, violations long")
+    return validate.report_rows(changes.groupBy("rule").agg(F.sum("violations").alias("violations")),
+                                validate.rule_labels(tables))
+
+
 # --- ST2 in a stream: late rows to their own output ---------------------------------------
 def start_late_split_stream(events: DataFrame, path: str, checkpoint: str, limit_seconds: int,
                             available_now: bool = True) -> StreamingQuery:
@@ -132,10 +264,14 @@ def append_status_history(batch: DataFrame, path: str, batch_id: int, entity_mod
     Keys that an earlier batch wrote stay as they are. Read the whole log with
     ``spark.read.parquet(path)``; ``batch`` says which batch wrote a row.
     """
-    rows = history_rows(dedup_history(batch, order, columns=HISTORY_INPUTS), entity_mode)
-    append_absent(rows, path, batch_id, K3)
+    def fold(events: DataFrame) -> DataFrame:
+        return history_rows(dedup_history(events, order, columns=HISTORY_INPUTS), entity_mode)
+
+    KeyedLog(batch.sparkSession, path, K3, fold(batch).schema).append_absent(batch, fold, batch_id)
 
 
+#: Columns that a lookup may ask for.
+LOOKUP_IDS = ["transaction_id", "event_id", "intent_id", "charge_id", "refund_id", "chargeback_id"]
 #: Folders of the log's lookup layout.
 LOG_BUCKETS = 64
 
@@ -147,13 +283,22 @@ def log_bucket(transaction_id: Column) -> Column:
 def write_status_log(history: DataFrame, path: str, by: str = "transaction") -> str:
     """The status log laid out for its reads.
 
-    ``by="transaction"``: a folder per hash bucket of the transaction, so a
+    ``by="ids"``: no folders; Parquet Bloom filters on the transaction and entity
+    ids, so a lookup by any of them reads only row groups that may hold it,
+    and a miss none, however many files there are. ``by="transaction"``: a folder per hash bucket of the transaction, so a
     lookup opens one; rows lie sorted by transaction, so its filter skips row
     groups by their statistics. ``by="event_time"``: a folder per event month,
     for reads of a span of time. Rows are range-split on (folder,
     transaction, id) first: a folder with a third of the log is written by
     several tasks.
     """
+    if by == "ids":
+        order = ["transaction_id", "event_id"]
+        writer = history.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+        for c in LOOKUP_IDS:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.parquet(path)
+        return path
     folder, value = (("txn_bucket", log_bucket(F.col("transaction_id"))) if by == "transaction"
                      else ("event_month", F.date_format("event_timestamp", "yyyy-MM")))
     order = [folder, "transaction_id", "event_id"]
