@@ -8,7 +8,7 @@ stream's durable output, never a driver-side collection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.normalise import (
@@ -712,11 +712,8 @@ def jn1_stream_join(spark, sf_dir):
     """JN1 over two streams of out-of-order files: pairs that arrive within the wait are joined, captures
     without an authorisation (or with one that comes too late) reach an output of their own."""
     root = work_dir(spark, "jn1s")
-    digest = F.md5(F.concat("event_id", F.col("copy_no").cast("string")))
     evs = _ev(spark, sf_dir).where((F.col("order_key") % 19 != 0) | (F.col("event_type") != "payment_intent_authorized"))
-    year = F.year("ingestion_timestamp")
-    chunk = F.when(digest.startswith("a"), 3).when(year < 1997, 0).when(year < 1999, 1).otherwise(2)
-    auths, captures = arriving_files(evs.withColumn("chunk", chunk), root, 4)
+    auths, captures = arriving_files(evs.withColumn("chunk", _chunk_column()), root, 4)
     jobs.start_capture_join_stream(auths, captures, f"{root}/out", f"{root}/ckpt", f"{_WAIT_HOURS} HOURS").awaitTermination()
     links, left = jobs.read_capture_links(spark, f"{root}/out")
     none = lambda kind: F.lit(None).cast(kind)
@@ -726,6 +723,29 @@ def jn1_stream_join(spark, sf_dir):
                     "capture_event_id", "copy_no", none("string").alias("charge_id"), none("long").alias("seconds_to_capture")))
 
 
+@register("st7_open_too_long", with_events(f"""
+SELECT a.transaction_id, a.event_id, a.copy_no, TIMESTAMP '2000-01-01' + to_hours(a.chunk) AS arrived_at,
+       a.transaction_id IN (SELECT transaction_id FROM caps) AS closed_late
+FROM auths a WHERE NOT EXISTS (
+  SELECT 1 FROM caps c WHERE c.transaction_id = a.transaction_id AND abs(a.chunk - c.chunk) <= {_WAIT_HOURS})""", extra=f"""
+arr AS (SELECT *, {_CHUNK} AS chunk FROM ev),
+auths AS (SELECT * FROM arr WHERE event_type = 'payment_intent_authorized'),
+caps AS (SELECT * FROM arr WHERE event_type = 'capture_succeeded')"""))
+def st7_open_too_long(spark, sf_dir):
+    """ST7 with timers: authorisations that waited an hour in vain, and whether a later capture closed them."""
+    root = work_dir(spark, "st7o")
+    auths, captures = arriving_files(_ev(spark, sf_dir).withColumn("chunk", _chunk_column()), root, 4)
+    for query in jobs.start_open_stream(auths, captures, f"{root}/out", f"{root}/ckpt", f"{_WAIT_HOURS} HOURS"):
+        query.awaitTermination()
+    return jobs.read_open(spark, f"{root}/out")
+
+
+def _chunk_column() -> Column:
+    """The chunk that a normalised delivery comes with (as ``_CHUNK``)."""
+    digest, year = F.md5(F.concat("event_id", F.col("copy_no").cast("string"))), F.year("ingestion_timestamp")
+    return F.when(digest.startswith("a"), 3).when(year < 1997, 0).when(year < 1999, 1).otherwise(2)
+
+
 def arriving_files(events: DataFrame, root: str, n_chunks: int) -> tuple[DataFrame, DataFrame]:
     """Authorisations and captures as two streams of files, a chunk an hour, and a heartbeat behind the last."""
     spark = events.sparkSession

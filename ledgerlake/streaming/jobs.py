@@ -111,6 +111,22 @@ def read_lifecycle(spark: SparkSession, path: str) -> DataFrame:
 HEARTBEAT = ""
 
 
+def _interval_join(left: DataFrame, l: str, right: DataFrame, r: str, wait: str, arrived: str, delay: str,
+                   order: Sequence[str]) -> DataFrame:
+    """Left rows with each right row of their transaction that arrives at most ``wait`` before or after; alone
+    once none can come any more. Columns get the sides' letters in front."""
+    def side(events: DataFrame, tag: str) -> DataFrame:
+        columns = ["transaction_id", "event_id", "charge_id", "ingestion_timestamp", arrived]
+        return events.withWatermark(arrived, delay).select(
+            *[F.col(c).alias(f"{tag}_{c}") for c in columns], arrival_seq(order).alias(f"{tag}_seq"))
+
+    span = F.expr(f"INTERVAL {wait}")
+    mine, other = F.col(f"{l}_{arrived}"), F.col(f"{r}_{arrived}")
+    return side(left, l).join(
+        side(right, r), (F.col(f"{l}_transaction_id") == F.col(f"{r}_transaction_id"))
+        & (other >= mine - span) & (other <= mine + span), "left_outer")
+
+
 def start_capture_join_stream(authorisations: DataFrame, captures: DataFrame, path: str, checkpoint: str, wait: str,
                               arrived: str = "arrived_at", delay: str = "0 seconds", available_now: bool = True,
                               order: Sequence[str] = ARRIVAL_ORDER) -> StreamingQuery:
@@ -125,17 +141,7 @@ def start_capture_join_stream(authorisations: DataFrame, captures: DataFrame, pa
     under ``_table=unmatched``. State is bounded by ``wait``. A heartbeat on
     both streams closes a feed that ends.
     """
-    def side(events: DataFrame, tag: str) -> DataFrame:
-        columns = ["transaction_id", "event_id", "charge_id", "ingestion_timestamp", arrived]
-        return events.withWatermark(arrived, delay).select(
-            *[F.col(c).alias(f"{tag}_{c}") for c in columns], arrival_seq(order).alias(f"{tag}_seq"))
-
-    span = F.expr(f"INTERVAL {wait}")
-    joined = side(captures, "c").join(
-        side(authorisations, "a"),
-        (F.col("c_transaction_id") == F.col("a_transaction_id"))
-        & (F.col(f"a_{arrived}") >= F.col(f"c_{arrived}") - span) & (F.col(f"a_{arrived}") <= F.col(f"c_{arrived}") + span),
-        "left_outer")
+    joined = _interval_join(captures, "c", authorisations, "a", wait, arrived, delay, order)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.where(F.col("c_transaction_id") != HEARTBEAT).withColumn(
@@ -162,6 +168,45 @@ def read_capture_links(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     return links, left
 
 
+# --- ST7 with timers: authorisations open for too long ---------------------------------------
+def start_open_stream(authorisations: DataFrame, captures: DataFrame, path: str, checkpoint: str, limit: str,
+                      arrived: str = "arrived_at", delay: str = "0 seconds", available_now: bool = True,
+                      order: Sequence[str] = ARRIVAL_ORDER) -> list[StreamingQuery]:
+    """ST7: report each authorisation that has waited ``limit`` for its capture; captures close it however late.
+
+    The authorisation is held as keyed state until its capture comes or the
+    watermark passes arrival + limit, which is the timer; then it is written
+    under ``reports``. The captures' keys go to ``captures``, so that a capture
+    that comes after the report still closes it (:func:`read_open`).
+    """
+    joined = _interval_join(authorisations, "a", captures, "c", limit, arrived, delay, order)
+
+    def report(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(F.col("c_transaction_id").isNull() & (F.col("a_transaction_id") != HEARTBEAT))
+        rows.select(F.col("a_transaction_id").alias("transaction_id"), F.col("a_event_id").alias("event_id"), "a_seq.copy_no",
+                    F.col(f"a_{arrived}").alias("arrived_at")).write.mode("overwrite").parquet(f"{path}/reports/batch={batch_id}")
+
+    def close(batch: DataFrame, batch_id: int) -> None:
+        batch.where(F.col("transaction_id") != HEARTBEAT).select("transaction_id").distinct() \
+            .write.mode("overwrite").parquet(f"{path}/captures/batch={batch_id}")
+
+    return [_start(joined, report, f"{checkpoint}/reports", available_now),
+            _start(captures, close, f"{checkpoint}/captures", available_now)]
+
+
+def read_open(spark: SparkSession, path: str) -> DataFrame:
+    """Reported authorisations (transaction_id, event_id, copy_no, arrived_at) and whether a capture closed them since."""
+    reports = read_or_none(spark, f"{path}/reports/batch=*")
+    if reports is None:
+        reports = spark.createDataFrame([], "transaction_id string, event_id string, copy_no int, arrived_at timestamp")
+    captured = read_or_none(spark, f"{path}/captures/batch=*")
+    if captured is None:
+        captured = spark.createDataFrame([], "transaction_id string")
+    closed = captured.select("transaction_id").distinct().withColumn("closed", F.lit(True))
+    return reports.join(closed, "transaction_id", "left").select(
+        "transaction_id", "event_id", "copy_no", "arrived_at", F.coalesce("closed", F.lit(False)).alias("closed_late"))
+
+
 # --- F2 / G1 kept up over batches ----------------------------------------------------------
 def apply_transitions(batch: DataFrame, path: str, batch_id: int, order: Sequence[str] = ARRIVAL_ORDER) -> None:
     """F2 as a running sum: what one batch of deliveries changes in the transition counts.

@@ -60,7 +60,7 @@ QUERIES_BY_ID: dict[str, list[str]] = {
     "H2": ["h2_top_transitions"],
     "H3": ["h3_first_n_deliveries"],
     "U1": ["u1_bag_union"],
-    "J1": ["j1_open_authorisations"],
+    "J1": ["j1_open_authorisations", "st7_open_too_long"],
     "J2": ["j2_open_captures"],
     "J3": ["j3_lifecycle_state", "j3_tied_events"],
     "J4": ["j4_illegal_transitions", "j4_illegal_by_event_time"],
@@ -78,7 +78,7 @@ QUERIES_BY_ID: dict[str, list[str]] = {
     "ST4": ["st4_stream_upsert"],
     "ST5": ["a2_change_feed", "st5_keyed_deletes"],
     "ST6": ["st6_snapshot_then_changes"],
-    "ST7": ["st7_stream_lifecycle"],
+    "ST7": ["st7_stream_lifecycle", "st7_open_too_long"],
 }
 
 # Behaviour beyond the registered queries, checked by these tests.
