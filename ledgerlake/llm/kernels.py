@@ -8,7 +8,6 @@ memory follows the slice and the longest text, not the batch.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.session import checkpoint_root
+from ledgerlake.session import work_dir
 
 SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -196,11 +195,10 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
-    It cuts lineage with files that outlive any executor. Spark removes
-    nothing there by itself, as with any written table; the folder is the
-    cluster's scratch folder.
+    It cuts lineage with files that outlive any executor; they are deleted
+    when the application ends, until when results may be read from them.
     """
     spark: SparkSession = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = work_dir(spark, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -135,6 +135,50 @@ def test_rows_of_null_and_repeated_ids_stay(spark, odd_documents, monkeypatch, b
     assert {other[0], other[1], other[2], other[3]} <= {t for _, t in kept}
 
 
+def test_bitmaps_never_lose_a_link():
+    """The pairs within the bitmaps' bound connect all that links connect, for sets of very different sizes."""
+    pick = random.Random(8)
+    for threshold in (50, 80, 90):
+        sets = [frozenset(pick.getrandbits(64) for _ in range(pick.choice([1, 2, 5, 30, 70, 400]))) for _ in range(30)]
+        for s in list(sets):
+            for _ in range(2):
+                kept = [x for x in s if pick.random() < pick.choice([1, 0.95, 0.8, 0.5])] or list(s)[:1]
+                sets.append(frozenset(kept + [pick.getrandbits(64) for _ in range(int(len(s) * pick.choice([0, 0.05, 0.2])))]))
+        of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        shingle = np.array([x for s in sets for x in sorted(s)], np.uint64)
+        words, first = jaccard.signatures(of, shingle, len(sets))
+        bitmaps = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+        parent = list(range(len(sets)))
+
+        def root(i, parent=parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+        for i, j in jaccard.possible_links(np.array([len(s) for s in sets]), bitmaps, threshold):
+            parent[root(i)] = root(j)
+        links = [(i, j) for i in range(len(sets)) for j in range(i)
+                 if 100 * len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j])]
+        assert len(links) > 20 and all(root(i) == root(j) for i, j in links)
+        assert len({root(i) for i in range(len(sets))}) > 20   # and what is far apart stays apart
+
+
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_a_third_of_the_rows_share_an_id(spark, one_id):
+    pick = random.Random(3)
+    rows = []
+    for i in range(120):
+        words = [f"w{pick.randint(0, 900)}" for _ in range(pick.choice([8, 40, 60]))]
+        rows.append((one_id if i % 3 == 0 else i, " ".join(words)))
+        rows.append((one_id if i % 3 == 0 else 1000 + i, " ".join(words + ["more"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert shown(jaccard.near_duplicates(docs, 3, 90)) == brute_groups(rows, 3, 90)
+    kept = jaccard.keep_one(docs.select("*", *[F.lit("mine").alias(c) for c in ("k1", "n", "what", "rep", "label", "task")]), 3, 90)
+    assert len(kept.columns) == 8
+    groups = brute_groups(rows, 3, 90)
+    alone = {t for d, t in rows if len(t.split()) == 8}             # nine words against eight: 6 of 7 shingles, no link
+    assert {r["text"] for r in kept.collect()} >= alone and kept.count() < len(rows) and len(groups) == len(rows)
+
+
 def test_no_documents_no_groups(no_documents):
     assert jaccard.near_duplicates(no_documents).count() == 0
 
