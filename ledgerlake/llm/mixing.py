@@ -2,8 +2,8 @@
 
 Each source gets a mean repetition rate that brings its share of all
 characters to its target weight. A document's count is the inverse Poisson
-distribution function at a uniform number made from a hash of (seed, doc_id),
-so a rerun, a retry or another partitioning gives the same rows. Documents are
+distribution function at a uniform number made from a hash of (seed, doc_id,
+text), so rows that share an id, or have none, draw on their own, and a rerun, a retry or another partitioning gives the same rows. Documents are
 exploded by their counts and brought into a global random order by a hash.
 
 Only DataFrame functions run here. A rate above ``PIECE`` is a sum of equal
@@ -13,8 +13,8 @@ any rate (exp(-rate) never underflows) without a cap on counts.
 Defined cases: a null source is a source; null or empty texts have no
 characters and repeat at their source's rate; a source without any characters
 keeps rate 1; with given weights, sources that have none are left out and the
-rest is normalised over the sources present; a null doc_id hashes as an empty
-string; repeated rows have equal counts; an empty table gives no rows; input
+rest is normalised over the sources present; a null doc_id or text hashes as
+an empty string; rows of equal id and text have equal counts; an empty table gives no rows; input
 columns named ``replica`` or ``shuffle_key`` are replaced.
 """
 
@@ -32,9 +32,15 @@ STEPS = 120
 BROADCAST_SOURCES = 10_000
 
 
+def row_key() -> Column:
+    """What draws for a row: a digest of its id and its whole text."""
+    whole = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text")]
+    return F.md5(F.concat(whole[0], F.lit("|"), F.md5(whole[1])))
+
+
 def uniform(seed: str, *parts: Column) -> Column:
     """A double in [0, 1) with 52 random bits from an md5 of the parts."""
-    key = F.concat_ws("|", F.lit(seed), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    key = F.concat_ws("|", F.lit(seed), *[p.cast("string") for p in parts])
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -79,22 +85,25 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
 
     The rates' table holds one row per source and is broadcast only where it
     was counted to hold at most ``BROADCAST_SOURCES`` rows; beyond that the
-    join shuffles and AQE splits the hot sources. The final order is a range
-    shuffle by ``shuffle_key`` (uniform, so without skew).
+    join shuffles and AQE splits the hot sources. The final order needs no
+    sample: ``shuffle_key`` is uniform, so its leading digits cut it into as
+    many equal ranges as the session has shuffle partitions.
     """
     docs = without(docs, "replica", "shuffle_key")
-    source, pieces, cdf, n = (free_name(docs, x) for x in ("_source", "_pieces", "_cdf", "_n"))
+    source, pieces, cdf, n, key = (free_name(docs, x) for x in ("_source", "_pieces", "_cdf", "_n", "_key"))
     by_source, n_sources = source_rates(docs, weights, alpha)
     rates = (by_source
              .withColumn(pieces, F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int"))
              .select(F.col("source").alias(source), pieces, _inverse_table(F.col("rate") / F.col(pieces)).alias(cdf)))
     few = n_sources <= BROADCAST_SOURCES
-    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates[source]))
-    draws = F.transform(F.sequence(F.lit(1), F.col(pieces)), lambda j: F.size(F.filter(
-        cdf, lambda c: c <= uniform(seed, F.col("doc_id"), j))))
+    joined = docs.withColumn(key, row_key()).join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates[source]))
+    # one digest a draw: the numbers first, then each one's place in the distribution function
+    numbers = F.transform(F.sequence(F.lit(1), F.col(pieces)), lambda j: uniform(seed, F.col(key), j))
+    draws = F.transform(numbers, lambda u: F.size(F.filter(cdf, lambda c: c <= u)))
     counted = joined.withColumn(n, F.aggregate(draws, F.lit(0), lambda a, x: a + x)).where(F.col(n) > 0)
-    key = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(
-        F.col("doc_id").cast("string"), F.lit("")), F.col("replica").cast("string"))), 1, 16)
-    return (counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(n))).alias("replica"))
-            .withColumn("shuffle_key", key)
-            .repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "replica"))
+    order = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col(key), F.col("replica").cast("string"))), 1, 16)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.floor(F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") * ranges / float(1 << 32)).cast("int")
+    return (counted.select(*docs.columns, key, F.explode(F.sequence(F.lit(1), F.col(n))).alias("replica"))
+            .withColumn("shuffle_key", order).drop(key)
+            .repartitionById(ranges, place).sortWithinPartitions("shuffle_key", "doc_id", "replica"))

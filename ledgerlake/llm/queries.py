@@ -114,14 +114,15 @@ p AS (SELECT source, rate, greatest(CAST(ceil(rate / 16.0) AS INT), 1) AS m FROM
 k AS (SELECT source, m, i, exp(i * ln(rate / m) - rate / m - CASE WHEN i < 1 THEN 0.0 ELSE lgamma(i + 1) END) AS pk
       FROM p, range(0, 120) AS g(i)),
 f AS (SELECT source, m, i, sum(pk) OVER (PARTITION BY source ORDER BY i) AS cdf FROM k),
-u AS (SELECT d.doc_id, d.source, j, CAST(CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(d.doc_id AS VARCHAR), '')
-             || '|' || j), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
-      FROM documents d JOIN p ON d.source IS NOT DISTINCT FROM p.source, range(1, p.m + 1) AS g(j)),
-n AS (SELECT doc_id, count(*) AS n FROM u JOIN f ON u.source IS NOT DISTINCT FROM f.source AND f.cdf <= u.u
-      GROUP BY doc_id)
-SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(x AS INT) AS replica,
-       substr(md5('mix-1|order|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || x), 1, 16) AS shuffle_key
-FROM documents d JOIN n USING (doc_id), range(1, n.n + 1) AS g(x)
+h AS (SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS key FROM documents),
+u AS (SELECT DISTINCT h.key, h.source, j, CAST(CAST('0x' || substr(md5('mix-1|' || h.key || '|' || j), 1, 13) AS BIGINT)
+             AS DOUBLE) / 4503599627370496.0 AS u
+      FROM h JOIN p ON h.source IS NOT DISTINCT FROM p.source, range(1, p.m + 1) AS g(j)),
+n AS (SELECT u.key, u.source, count(*) AS n FROM u JOIN f ON u.source IS NOT DISTINCT FROM f.source AND f.cdf <= u.u
+      GROUP BY u.key, u.source)
+SELECT h.doc_id, h.text, h.lang, h.source, h.n_chars, CAST(x AS INT) AS replica,
+       substr(md5('mix-1|order|' || h.key || '|' || x), 1, 16) AS shuffle_key
+FROM h JOIN n ON h.key = n.key AND h.source IS NOT DISTINCT FROM n.source, range(1, n.n + 1) AS g(x)
 """
 
 
