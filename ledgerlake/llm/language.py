@@ -4,20 +4,20 @@ A text becomes counts of letter 1-, 2- and 3-grams (word ends included) hashed
 into ``DIMS`` columns, damped, weighted by inverse document frequency and
 normalised. Spherical k-means gives ``CENTROIDS`` centroids for each language;
 a text gets the language of its nearest centroid. It is rejected where its
-cosine to that centroid is below the centroid's bound: ``SLACK`` times the
-lowest cosine among the centroid's own training texts of at least
-``SHORT`` grams (short texts are scaled by the root of their length, as their
-cosine shrinks with it).
+cosine to that centroid is below the language's bound: ``MARGIN`` times a low
+quantile of the cosines of the language's own labelled texts, so a few wrong
+labels do not move it. Texts below ``SHORT`` grams are scaled by the root of
+their length, as their cosine shrinks with it.
 
 The classifier is fitted on a bounded sample: about ``SAMPLE`` labelled
-documents of each language, picked by a hash of the id, whole texts. Everything
+documents of each language, picked by a hash of id and text, whole texts. Everything
 else sees all rows. Prediction is one pass without a shuffle.
 
 Defined cases: null text or text without letters is ``und`` with score 0 and
 rejected; a null label is never learned; ties go to the language first in
 order; repeated rows get equal results; very long texts are read whole, in
 bounded slices; an empty table gives no rows; if nothing is labelled, every
-text is ``und``. Input columns named like the results are replaced.
+text is ``und`` and only those without letters are rejected. Input columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ DIMS = 4096
 CENTROIDS = 4
 SAMPLE = 600
 ROUNDS = 8
-SLACK = 0.25
+#: A text is rejected below MARGIN times this quantile of the cosines of its language's own labelled texts.
+REJECT_QUANTILE = 0.005
+MARGIN = 0.7
 SHORT = 200
 PART_CHARS = 1 << 20
 RESULTS = ("lang_pred", "score", "rejected")
@@ -119,12 +121,9 @@ class Centroids:
             own = np.flatnonzero(labels == lang)
             v = unit[own]
             centre = self._cluster(v, n_centroids)
-            near = v @ centre.T
-            best = near.argmax(axis=1)
-            for c in range(len(centre)):
-                cos = near[best == c, c] / self._reach(size[own][best == c])
-                bound.append(SLACK * float(cos.min()) if len(cos) else 0.0)
-                owner.append(i)
+            cos = (v @ centre.T).max(axis=1) / self._reach(size[own])
+            bound += [MARGIN * float(np.quantile(cos, REJECT_QUANTILE))] * len(centre)
+            owner += [i] * len(centre)
             parts.append(centre)
         self.centre = np.concatenate(parts) if parts else np.zeros((0, DIMS), np.float32)
         self.owner, self.bound = np.array(owner, int), np.array(bound)
@@ -160,7 +159,8 @@ class Centroids:
             counts = gram_counts(texts[first:last])
             size = counts.sum(axis=1)
             if not len(self.centre):
-                langs.extend(["und"] * (last - first))
+                langs.extend(["und"] * (last - first))  # nothing was learned: only texts without letters go
+                rejected[first:last] = size == 0
                 continue
             near = _unit(counts, self.idf) @ self.centre.T
             best = near.argmax(axis=1)
@@ -173,22 +173,23 @@ class Centroids:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Whether a row is kept from learning; a null id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids:
     """Fit on about ``sample`` labelled documents of each language that are not held out.
 
-    Only ``text`` and ``lang`` are learned from; the id picks the sample. A
-    null id is not held out. The sample of at most ``sample`` rows a language
+    Only ``text`` and ``lang`` are learned from; a hash of id and text picks the
+    sample, so rows that share an id, or have none, are picked one by one. The sample of at most ``sample`` rows a language
     comes to the driver as count vectors.
     """
-    usable = docs.where(F.col("lang").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    usable = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                         & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
         return Centroids(np.zeros((0, DIMS), np.float32), [])
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 30))
+    pick = F.pmod(F.xxhash64("doc_id", F.lit("lang"), "text"), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
                            for x in (lang, int(min(1.0, 1.5 * sample / n) * (1 << 30)))])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
@@ -73,6 +74,21 @@ def test_poisson_counts_follow_the_rates(spark):
     assert again.count() == rows.count() and again.exceptAll(rows).isEmpty()
 
 
+def test_rows_without_an_id_draw_on_their_own(spark):
+    """A third of all rows share one id or have none: their counts are Poisson as all others are."""
+    docs = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("one").alias("source"))
+    rows = mixing.mix_sources(docs)
+    n = rows.groupBy("text").count().groupBy("count").count().collect()
+    kept = {r[0]: r[1] for r in n}
+    for k, p in ((1, 0.3679), (2, 0.1839), (3, 0.0613)):
+        assert abs(kept[k] / 9000 - p) < 0.02
+    for key in ("doc_id is null", "doc_id = 7"):
+        some = rows.where(key)
+        assert abs(some.count() - 3000) < 300 and some.select("shuffle_key").distinct().count() == some.count()
+
+
 def test_mixing_large_rate(spark):
     docs = spark.createDataFrame([(i, "a" * 100, "big") for i in range(3000)] + [(9999, "a", "one")],
                                  "doc_id long, text string, source string")
@@ -134,6 +150,51 @@ def test_language_held_out_accuracy(documents):
     assert all(r["rejected"] for r in language.identify(wild, model).collect())
 
 
+def test_language_rejects_what_it_did_not_learn(documents):
+    """Unlearned languages in Latin script, random letters and encoded bytes go; a learned one stays."""
+    pick = random.Random(7)
+    texts = {
+        "letters": " ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randint(2, 9))) for _ in range(200)),
+        "few": " ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randint(2, 9))) for _ in range(20)),
+        "base64": base64.b64encode(pick.randbytes(900)).decode(),
+        "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e "
+              "devono agire gli uni verso gli altri in spirito di fratellanza. " * 3,
+        "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+              "sumieniem i powinni postępować wobec innych w duchu braterstwa. " * 3,
+        "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. " * 3}
+    rows = documents.sparkSession.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    model = language.fit(documents)
+    kept = language.identify(rows, model).where("not rejected").collect()
+    assert not kept, [list(texts)[r["doc_id"]] for r in kept]
+
+
+def test_language_against_plain_nearest_centroid(documents):
+    """Prediction, score and rejection by dictionaries of grams instead of matrices."""
+    model = language.fit(documents)
+    rows = language.identify(documents.limit(60), model).collect()
+    for r in rows:
+        counts = language.gram_counts([r["text"] or ""])[0]
+        weights = {i: (c ** 0.5) * float(model.idf[i]) for i, c in enumerate(counts.tolist()) if c}
+        norm = sum(w * w for w in weights.values()) ** 0.5
+        cosines = [sum(w * float(centre[i]) for i, w in weights.items()) / norm if norm else 0.0 for centre in model.centre]
+        best = max(range(len(cosines)), key=lambda j: cosines[j])
+        if not norm:
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        assert r["lang_pred"] == model.langs[model.owner[best]] and abs(r["score"] - min(cosines[best], 1)) < 1e-4
+        reach = min(1.0, sum(counts.tolist()) / language.SHORT) ** 0.5
+        assert r["rejected"] == (cosines[best] < model.bound[best] * reach)
+
+
+def test_language_stage_without_labels_keeps_what_has_letters(spark, odd_documents):
+    import corpus_pipeline
+    blank = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_id(spark, blank, "unused")
+    assert kept.columns == odd_documents.columns
+    letters = [r for r in blank.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, letters))
+
+
 def test_language_odd_rows(documents, odd_documents, clashing, no_documents):
     model = language.fit(documents)
     rows = language.identify(clashing, model).collect()
