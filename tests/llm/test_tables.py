@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import subprocess
@@ -245,6 +246,68 @@ def test_field_adds_what_patterns_miss(documents):
     assert pii.find_spans([clean], field) == [([], [])]
 
 
+def brute_marginals(node, edges):
+    """Label probabilities by summing over every labelling."""
+    n, k = node.shape
+    total = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        score = np.exp(sum(node[i, a] for i, a in enumerate(labels))
+                       + sum(pair[labels[u], labels[v]] for u, v, pair in edges))
+        for i, a in enumerate(labels):
+            total[i, a] += score
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(("chain", "skip", "most"), [
+    ([(0, 1), (1, 2)], [(0, 4), (3, 4)], 1e-3),             # a tree: exact
+    ([], [(0, 5), (1, 5), (2, 5), (3, 5), (4, 5)], 1e-3),   # one hub: exact
+    ([(0, 1), (1, 2), (2, 3)], [(0, 4), (3, 4)], 0.05),     # one loop
+])
+def test_messages_against_every_labelling(chain, skip, most):
+    pick = np.random.default_rng(5)
+    for _ in range(5):
+        k, n = len(pii.LABELS), min(v for _, v in skip)
+        field = pii.SkipChain(pick.normal(0, 1, (pii.N_SHAPES, k)), pick.normal(0, 0.7, (k, k)), pick.normal(0, 0.7, (k, k)))
+        x = pick.integers(0, 2, (n, pii.N_SHAPES)).astype(float)
+        node = np.concatenate([x @ field.shape, np.zeros((1, k))])
+        edges = [(u, v, field.chain) for u, v in chain] + [(u, v, field.skip) for u, v in skip]
+        got = field.marginals(x, np.array(chain, int).reshape(-1, 2), np.array(skip, int).reshape(-1, 2))
+        assert np.abs(got - brute_marginals(node, edges)[:n]).max() < most
+
+
+def test_links_between_spellings():
+    def linked(text):
+        (own,), _, _, skip, _, hubs = pii._graph([text])
+        return own, [{own[i].text for i, _ in held} for held in hubs], skip
+
+    own, hubs, skip = linked("4539 5787 6362 1486 then 4539578763621486")
+    assert {own[i].text for i in skip[:, 0]} == {"4539", "5787", "6362", "1486", "4539578763621486"}
+    _, hubs, _ = linked("+1 (988) 555-2485 or 988 555 2485 or 555 2485")
+    assert {"555-2485", "555", "2485"} in hubs and {"(988)", "988"} in hubs
+    assert linked("+44 20 79 46 09 58 twice +44 20 79 46 09 58")[1]
+    assert linked("mail <Ann@Mail.example> or mailto:ann@mail.example")[1]
+    assert not {"1486", "1487"} & set().union(*linked("4539 5787 6362 1486 then 4539 5787 6362 1487")[1])
+    assert not linked("4539 5787 6362 1486 then 9539 5780 6361 1487")[1]
+    assert not linked("one two 12 34 56, 78 90")[1]
+    for text in ("12 " * 5000, "988 555 2485, " * 3000):  # linear in the text
+        assert len(linked(text)[2]) <= 3 * sum(pii.TAILS) * 15_000
+
+
+def test_field_finds_other_spellings(documents):
+    field = pii.train(documents)
+    card, phone = "4539 5787 6362 1486", "+44 20 79 46 09 58"
+    texts = [f"Paid with {card}. Later: {phone} {card} as before.",
+             "Ring +1 (988) 555-2485 today, or 988 555 2485, or 9885552485 at night",
+             "Room 12 34 56 on 2024-11-02 costs 99.50 or 100 200 300 400 500", "", "988 555 2485"]
+    got = pii.find_spans(texts, field)
+    found = [[text[s:e] for _, s, e in added] for text, (_, added) in zip(texts, got, strict=True)]
+    assert found == [[phone, card], ["988 555 2485", "9885552485"], [], [], []]
+    assert got == [pii.find_spans([text], field)[0] for text in texts]  # whatever shares the batch
+    far = "call +1 (988) 555-2485 " + "and 988 555 2485, then " * 400
+    (base, added), = pii.find_spans([far], field)
+    assert len(base) == 1 and len(added) == 400
+
+
 def test_personal_data_rows(documents, clashing, no_documents):
     field = pii.train(documents)
     for docs in (documents, clashing):
