@@ -5,12 +5,16 @@ Containment is full, so one token of a window is a necessary prefix: its rarest
 word, by occurrences counted over all documents. A document position holding
 such a word is a candidate; the word's place in the window must leave room for
 the whole window inside the document (positional and length bounds), and then
-every word of the window is compared.
+every word of the window is compared. Windows with a word that no document has
+are dropped before.
 
-Benchmark windows are broadcast in blocks of about ``BLOCK_WINDOWS`` (some 10
-MB each); a larger benchmark takes more passes, never a larger broadcast.
-Documents are not shuffled and a hot word only costs candidates in the tasks
-that read it.
+Words are counted in one pass over the documents, whatever the size of the
+benchmark, and each window's rarest word is picked by joins in Spark. Distinct
+(item, window) rows are then dealt into blocks of about ``BLOCK_WINDOWS`` by a
+hash of both, so neither an item of any length nor a window of many items makes
+a block larger. Blocks are broadcast (some 10 MB each); a larger benchmark takes
+more passes of marking, never a larger broadcast. Documents are not shuffled
+and a hot word only costs candidates in the tasks that read it.
 
 Defined cases: null or empty text, or text without words, has no words and no
 hits; items without words never match; a null item id is the empty string;
@@ -30,9 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.kernels import ALNUM_WORDS, runs, slices, without, word_hashes
+from ledgerlake.llm.kernels import ALNUM_WORDS, bitmap_of, in_bitmap, runs, slices, stored, without, word_hashes
+from ledgerlake.session import checkpoint_root
 
 BLOCK_WINDOWS = 100_000
+#: Words of documents that a task counts before it hands their counts on.
+HELD_WORDS = 1 << 20
 RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_bits", "items")
 
 
@@ -72,24 +79,55 @@ class _Table:
         return maybe[ok], at[ok]
 
 
-def _count_words(table):
+def _words_of_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = [bytes(w) for w in batch.column(0).to_pylist()]
+        n = np.array([len(w) // 8 for w in packed], np.int64)
+        first = np.cumsum(n) - n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w for w, k in zip(packed, n, strict=True) for _ in range(k)], pa.binary()),
+             pa.array(np.arange(int(n.sum())) - np.repeat(first, n)),
+             pa.array(np.frombuffer(b"".join(packed), np.int64))], ["words", "place", "word"])
+
+
+def _count_words(bits):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = table.value
-        total = np.zeros(len(t.keys), np.int64)
+        held, size = [], 0
         for batch in batches:
             for _, data, offsets in slices(batch, "text"):
-                total += np.bincount(t.find(word_hashes(data, offsets, ALNUM_WORDS)[0])[1],
-                                     minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["word", "n"])
+                h = word_hashes(data, offsets, ALNUM_WORDS)[0]
+                held.append(h[in_bitmap(bits.value, h)])
+                size += len(held[-1])
+                if size > HELD_WORDS:
+                    yield _tally(held)
+                    held, size = [], 0
+        if size:
+            yield _tally(held)
     return count
 
 
+def _tally(held: list[np.ndarray]) -> pa.RecordBatch:
+    word, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+
+def _by_rarest(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Distinct (item_id, words) with the place of the window's rarest word in the documents."""
+    windows = found.select("words").distinct().mapInArrow(_words_of_windows, "words binary, place long, word long")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(windows.select(F.col("word").alias("key"))))
+    counts = docs.select("text").mapInArrow(_count_words(bits), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rarest = (windows.join(counts, "word", "left").groupBy("words")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place")).alias("least"))
+              .where(F.col("least.n") > 0).select("words", F.col("least.place").alias("place")))
+    return found.join(rarest, "words").select("item_id", "words", "place")
+
+
 class _Windows:
     """The windows of one block, by their rarest word."""
 
-    def __init__(self, items: list[str], packed: list[bytes], size: int):
+    def __init__(self, items: list[str], packed: list[bytes], places: list[int], size: int):
         by_words: dict[bytes, set[str]] = {}
+        place_of = dict(zip(packed, places, strict=True))
         for item, w in zip(items, packed, strict=True):
             by_words.setdefault(w, set()).add(item)
         self.length = np.array([len(w) // 8 for w in by_words], np.int64)
@@ -97,16 +135,7 @@ class _Windows:
         for i, w in enumerate(by_words):
             self.words[i, :len(w) // 8] = np.frombuffer(w, np.uint64)
         self.items = [sorted(v) for v in by_words.values()]
-        real = np.arange(size) < self.length[:, None]
-        self.table = _Table(self.words[real])
-
-    def order_by(self, count: np.ndarray) -> None:
-        """Pick each window's rarest word; ``count`` goes with the table's keys."""
-        size = self.words.shape[1]
-        n = np.full(self.words.shape, np.iinfo(np.int64).max)
-        real = np.arange(size) < self.length[:, None]
-        n[real] = count[np.searchsorted(self.table.keys, self.words[real])]
-        self.place = n.argmin(axis=1)
+        self.place = np.array([place_of[w] for w in by_words], np.int64)
         rare = self.words[np.arange(len(self.words)), self.place]
         self.by_rare = np.argsort(rare, kind="stable")
         self.table = _Table(rare)
@@ -177,7 +206,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) ->
     sc = spark.sparkContext
     docs = without(docs, *RESULTS)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    found = items.mapInArrow(_windows_of(size), "item_id string, words binary")
+    windows_of = items.mapInArrow(_windows_of(size), "item_id string, words binary").distinct()
+    found = stored(_by_rarest(stored(windows_of, "windows"), docs), "rarest")
     n_blocks = max(1, math.ceil(found.count() / BLOCK_WINDOWS))
     kept = docs.columns
     schema = T.StructType(docs.schema.fields + [
@@ -185,17 +215,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) ->
         T.StructField("hit_bits", T.BinaryType()), T.StructField("items", T.ArrayType(T.StringType()))])
     marked = docs
     for b in range(n_blocks):
-        block = found.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == b).collect()
-        windows = _Windows([r["item_id"] for r in block], [bytes(r["words"]) for r in block], size)
-        counted = (docs.select("text").mapInArrow(_count_words(sc.broadcast(windows.table)), "word long, n long")
-                   .groupBy("word").agg(F.sum("n").alias("n")).collect())  # one row a word of the block at most
-        count = np.zeros(len(windows.table.keys), np.int64)
-        for r in counted:
-            count[r["word"]] = r["n"]
-        windows.order_by(count)
+        block = found.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n_blocks)) == b).collect()
+        windows = _Windows([r["item_id"] for r in block], [bytes(r["words"]) for r in block],
+                           [r["place"] for r in block], size)
         marked = marked.mapInArrow(_mark(sc.broadcast(windows), b == 0, kept), schema)
-        if b % 4 == 3:
-            marked = marked.checkpoint()  # a stage holds four blocks at most
+        if b % 4 == 3:  # a stage holds four blocks at most
+            if not sc.getCheckpointDir():
+                sc.setCheckpointDir(checkpoint_root(spark))
+            marked = marked.checkpoint()
     return (marked.withColumn("n_items", F.size("items").cast("long"))
             .withColumn("items_sha256", F.sha2(F.array_join(F.array_sort("items"), ","), 256))
             .withColumn("contaminated", F.col("n_hit") > 0))

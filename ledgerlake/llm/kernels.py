@@ -192,6 +192,29 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+#: Bits of a bitmap of keys, and of one row of it (fixed by Spark's bitmap functions).
+KEY_BITS = 24
+BUCKET_BITS = 15
+
+
+def bitmap_of(keys: DataFrame) -> np.ndarray:
+    """The bitmap of the leading bits of the 64-bit hashes ``key``: 2 MB, whatever their number."""
+    place = F.shiftrightunsigned("key", 64 - KEY_BITS)
+    buckets = (keys.select(F.shiftright(place, BUCKET_BITS).alias("bucket"),
+                           place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("bit"))
+               .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    bits = np.zeros((1 << (KEY_BITS - BUCKET_BITS), 1 << (BUCKET_BITS - 3)), np.uint8)
+    for r in buckets.collect():
+        bits[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits.reshape(-1)
+
+
+def in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether each hash may be among the bitmap's keys (never false for one that is)."""
+    at = (h >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 

@@ -41,15 +41,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.kernels import (
-    LOWER, SLICE_BYTES, SPACE_WORDS, Rolling, column_bytes, mix, stored, words)
+    LOWER, SLICE_BYTES, SPACE_WORDS, Rolling, bitmap_of, column_bytes, in_bitmap, mix, stored, words)
 
 BITS = 128
 SPARE = 2
 RADIUS = 6
 ASK = 50
-#: Bits of the bitmap of query keys, and of one row of it (fixed by Spark's bitmap functions).
-KEY_BITS = 24
-BUCKET_BITS = 15
 _NO_ID = -(1 << 63)
 #: Text bytes a task should hold, for the number of ranges.
 RANGE_BYTES = 16 << 20
@@ -206,19 +203,11 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 def _occurring(keys: DataFrame):
     """A column function: whether a key may be among ``keys`` (never false for one that is)."""
-    place = F.shiftrightunsigned("key", 64 - KEY_BITS)
-    buckets = (keys.select(F.shiftright(place, BUCKET_BITS).alias("bucket"),
-                           place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("bit"))
-               .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
-    bits = np.zeros((1 << (KEY_BITS - BUCKET_BITS), 1 << (BUCKET_BITS - 3)), np.uint8)
-    for r in buckets.collect():  # 2 MB in all, whatever the corpus
-        bits[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    shared = keys.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+    shared = keys.sparkSession.sparkContext.broadcast(bitmap_of(keys))
 
     @F.pandas_udf("boolean")
     def occurs(key: pd.Series) -> pd.Series:
-        at = (key.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+        return pd.Series(in_bitmap(shared.value, key.to_numpy().astype(np.int64).view(np.uint64)))
 
     return occurs
 

@@ -266,6 +266,22 @@ def test_hits_against_brute_force(spark, odd_documents, clashing, no_documents,
     assert none.where("contaminated").isEmpty() and none.count() == len(rows)
 
 
+def test_one_huge_item_and_a_window_of_many_items(spark, odd_documents, monkeypatch):
+    """Blocks stay small where one item (or the null id) has nearly all windows, or one window nearly all items."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 40)
+    sizes = []
+    plain = decontaminate._Windows.__init__
+    monkeypatch.setattr(decontaminate._Windows, "__init__", lambda self, *a: sizes.append(len(a[0])) or plain(self, *a))
+    text = odd_documents.where("doc_id = 9").first()["text"]
+    items = [("huge", text), (None, text[200:900]), ("huge", text)] + [(f"i{i}", "two words") for i in range(100)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
+    names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = decontaminate.find_contamination(odd_documents, bench).collect()
+    assert sorted((low(r["doc_id"]), *[r[c] for c in names]) for r in got) == brute_hits(rows, items)
+    assert len(sizes) > 4 and max(sizes) < 80
+
+
 # --- fingerprints -------------------------------------------------------------------------
 
 def test_next_document_and_edited_text(odd_documents, documents, no_documents, monkeypatch):
