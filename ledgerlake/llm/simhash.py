@@ -158,8 +158,8 @@ def _lookup(spark: SparkSession, keys: np.ndarray, values: np.ndarray | None):
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprint each document, its edited text and the next document's, by ascending doc_id.
 
-    Documents are dealt once, by ranges of doc_id of about ``RANGE_BYTES``;
-    the bounds come from quantiles over all ids. The first document of each
+    Documents are dealt once, by ranges of doc_id of about ``RANGE_BYTES``,
+    a range a task; the bounds come from quantiles over all ids. The first document of each
     range also goes, as a ghost, to the end of the range before, so no task
     needs another one's rows. To the driver come the bounds and the first id
     of each range (a few bytes a range).
@@ -183,7 +183,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 F.col("_goes") >= 0, F.array(spot(F.col("_place"), False), spot(F.col("_goes"), True)))
                 .otherwise(F.array(spot(F.col("_place"), False)))).alias("_at")))
     dealt = (both.select(F.col("_at.p").alias("place"), F.col("_at.g").alias("ghost"), "doc_id", "text")
-             .repartitionByRange(n, "place")
+             .repartitionById(n, F.col("place").cast("int"))
              .sortWithinPartitions("place", "ghost", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")))
     return dealt.mapInArrow(_neighbours, NEIGHBOUR_SCHEMA)
 
