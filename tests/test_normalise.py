@@ -91,3 +91,16 @@ def test_unify_versions(spark):
     assert out["e1"].event_type == "capture_succeeded" and out["e1"].status == "captured"
     assert out["e1"].idempotency_key == "t1" and out["e1"].user_id == "user_123"
     assert out["e2"].event_type == "payment_intent_created" and out["e2"].user_id == "user_7"
+
+
+def test_json_values_and_what_follows_them(spark):
+    """One JSON value and nothing behind it, also where the text could spell what is put behind it."""
+    good = ['{"a": 1}', "[1]", "3", '"x"', "null", " {} ", '"~"', '{"a": "\\u007e"}', '["a", "~"]', '"a\\"b"', "[]", '{"~": "~"}']
+    bad = ["", " ", "not json", '{"a": 1} x', "1],[2", "1]", "1,2", '1,"~"] x', '1,"\\u007e"] x', '1,"', '"a":1', '1}, {"v":2',
+           "{", '{"a":1,"a":2}', '1, "a":2', "'x'", "1,'~'] x", "[1", '1,"~']
+    df = spark.createDataFrame([(t, True) for t in good] + [(t, False) for t in bad] + [(None, False)], "t string, want boolean")
+    from ledgerlake.functions.normalise import is_json_value, payload_variant
+    inside = lambda a, b: F.try_parse_json(F.concat(F.lit(a), "t", F.lit(b))).isNotNull()
+    got = df.select("t", "want", is_json_value(F.col("t")).alias("got"), payload_variant(F.col("t")).isNotNull().alias("made"),
+                    F.coalesce(inside("[", "]") & inside('{"v":', "}"), F.lit(False)).alias("twice")).collect()
+    assert [r for r in got if not r["want"] == r["got"] == r["made"] == r["twice"]] == []
