@@ -110,3 +110,59 @@ def test_a_store_keeps_only_columns_that_its_tables_take(spark, sf_small, monkey
     assert len(kept) == 1 and "original_transaction_timestamp" not in kept[0] and "country" not in kept[0]
     for t in ("payment_intents", "refunds", "payment_status_history", "merchants"):
         assert _rows(store.read(t)) == _rows(upsert.fold_events(evs, t)), t
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_log_rows_of_a_span_are_the_log_cut_afterwards(spark, raw):
+    """Cuts inside transactions, also with deliveries of no time; what a cut drops is not shuffled."""
+    raw = raw.withColumn("ingestion_timestamp", F.when(F.pmod(F.xxhash64("event_id", "copy_no"), F.lit(7)) != 0,
+                                                       F.col("ingestion_timestamp")))
+    log, at = stages.status_log(raw), F.col("ingestion_timestamp")
+    for cut in ("1995-06-01 12:00:00", "1998-06-01 00:00:00"):
+        bound = F.lit(cut).cast("timestamp")
+        assert _rows(stages.status_log(raw, since=cut).select(*log.columns)) == _rows(log.where(at >= bound))
+        assert _rows(stages.status_log(raw, until=cut).select(*log.columns)) == _rows(log.where(at < bound))
+    plan = _plan(stages.status_log(raw, ["status", "ingestion_timestamp"], until="1998-06-01 00:00:00"))
+    assert "1998-06-01" in plan[plan.index("Aggregate"):]
+
+
+def test_first_deliveries_of_unknown_and_missing_types(spark):
+    fields = ["transaction_id", "idempotency_key", "event_type", "status", "event_id", "ingestion_timestamp", "ord", "copy_no"]
+    rows = [("t", "k", None, "a", "e1", "2020-01-02T00:00:00+00:00", 1, 0), ("t", "k", None, "b", "e2", "2020-01-01T00:00:00+00:00", 1, 0),
+            ("t", "k", "odd", "c", "e3", None, 1, 0), ("t", "k", "odd", "d", "e4", "2020-01-01T00:00:00+00:00", 1, 0),
+            ("t", "k", "capture_succeeded", "e", "e5", "2020-01-01T00:00:00+00:00", 3, 1),
+            ("t", "k", "capture_succeeded", "f", "e6", "2020-01-01T00:00:00+00:00", 3, 0),
+            (None, "k", "capture_succeeded", "g", "e7", "x", 3, 0), (None, "k", "capture_succeeded", "h", "e8", "x", 3, 0),
+            ("t", None, "refund_recorded", "i", "e9", "2020-01-01T00:00:00+00:00", 4, 0)]
+    kinds = "string, ".join(f"{f} " for f in fields[:6]) + "string, ord int, copy_no int"
+    first = stages.first_raw(spark.createDataFrame(rows, kinds), ["status", "ingestion_timestamp"])
+    assert _rows(first.select(*K3, "status")) == sorted(
+        [("t", "k", None, "b"), ("t", "k", "odd", "c"), ("t", "k", "capture_succeeded", "f"),
+         (None, "k", "capture_succeeded", "g"), ("t", None, "refund_recorded", "i")], key=repr)
+
+
+def test_deliveries_of_a_transaction_travel_in_one_row(spark, raw):
+    plan = _plan(stages.status_log(raw))
+    least = plan[plan.index("Aggregate"):]
+    assert "Aggregate [transaction_id" in least and "Generate inline" in plan
+
+
+def test_folded_tables_equal_the_folds_of_normalised_events(spark, sf_small):
+    want = stages.entity_tables(stages.events(spark, sf_small))
+    root = work_dir(spark, "folded-tables")
+    got = stages.folded_tables(spark, sf_small, root)
+    assert list(got) == list(want)
+    for name, df in want.items():
+        assert got[name].columns == df.columns and _rows(got[name]) == _rows(df), name
+    assert "payload" not in spark.read.parquet(f"{root}/events").columns
+
+
+def test_the_report_reads_tables_that_are_not_written(spark, sf_small, monkeypatch):
+    from ledgerlake.plans.catalog_io import c12_constraint_report
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, p, *a, **k: written.append(p) or parquet(self, p, *a, **k))
+    assert c12_constraint_report(spark, sf_small).count() == 108
+    assert [p.rsplit("/", 1)[1] for p in written] == ["events"]
