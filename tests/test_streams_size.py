@@ -166,3 +166,28 @@ def test_the_report_reads_tables_that_are_not_written(spark, sf_small, monkeypat
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, p, *a, **k: written.append(p) or parquet(self, p, *a, **k))
     assert c12_constraint_report(spark, sf_small).count() == 108
     assert [p.rsplit("/", 1)[1] for p in written] == ["events"]
+
+
+def test_a_wide_batch_is_folded_with_the_log_s_keys(spark, sf_small, monkeypatch):
+    """A4 over three batches with null keys: no join of rows, no row that the log has, the same rows as a fold of all."""
+    evs = stages.events(spark, sf_small, encode=False).drop("order_key").withColumn(
+        "idempotency_key", F.when(F.col("ord") != 2, F.col("idempotency_key")))
+    evs = stages.materialise_events(evs, f"{work_dir(spark, 'a4')}/events")
+    path = f"{work_dir(spark, 'a4')}/log"
+    plans, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, p, *a, **k: plans.append((p, _plan(self._df))) or parquet(self, p, *a, **k))
+    part = F.pmod(F.xxhash64("event_id", "copy_no"), F.lit(3))
+    for i in range(3):
+        again = evs.where(part < i).withColumn("status", F.lit("changed"))
+        jobs.append_status_history(evs.where(part == i).unionByName(again), path, i)
+    monkeypatch.undo()
+    rows = [p for at, p in plans if at.endswith(("/batch=0", "/batch=1", "/batch=2"))]
+    assert len(rows) == 3 and not any("Join" in p or "Repartition" in p or "Rebalance" in p for p in rows)
+    assert not any("/_folded/" in at for at, _ in plans)
+    log = spark.read.parquet(path)
+    first = {tuple(r): 0 for r in log.where("batch = 0").select(*K3).collect()}
+    assert len(first) == evs.where(part == 0).select(*K3).distinct().count()
+    assert log.count() == log.select(*K3).distinct().count() == evs.select(*K3).distinct().count()
+    assert log.where("status = 'changed'").count() == 0
+    attempted, applied, _ = read_metrics(spark, path).first()
+    assert applied == log.count() and attempted > evs.count()
